@@ -149,7 +149,7 @@ def _composed(points: np.ndarray, row: np.ndarray, t: dict[str, np.ndarray]) ->
 
 
 #: Of the shared signs: skeleton, and what it is beside ideographs or hiragana.
-_READ_AS = dict(zip("ロトニカエハタヒムノオチメヘベペー", "口卜二力工八夕匕厶丿才千乂へべぺ一"))
+_READ_AS = dict(zip("ロニカエハタオチヘベペー", "口二力工八夕才千へべぺ一"))
 
 
 def _readable(points: np.ndarray, row: np.ndarray) -> np.ndarray:
