@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 STEP_COST = 0.3
 LEAST_GAIN = 1.0
-MAX_STATES = 60  # expanded states of one text; a path needs one to four
+MAX_STATES = 40  # expanded states of one text; a path needs one to four
 GAP = "�"
 _SUSPECT = 0.9  # cost below which no search begins
 
@@ -63,7 +63,7 @@ def costs() -> np.ndarray:
                 cost[c] = 0 if ch.encode("cp932")[0] <= 0x97 else 0.8
             except UnicodeEncodeError:
                 cost[c] = 1.8
-        elif c < 0x250:
+        elif c < 0x250 or kind == "Mn":
             cost[c] = 1.5
         elif ch in "‘’“”—–…‥℃○●◎△▲□■☆★♪※→←↑↓〒々×÷◇◆−√∞々":
             cost[c] = 0.1
@@ -75,13 +75,14 @@ def costs() -> np.ndarray:
             cost[c] = 4
     cost[0xE000:0xF900] = 4
     cost[0xF0000:] = 4
-    cost[ord(GAP)] = 3
+    cost[ord(GAP)] = 4
     cost[0xFE0F] = cost[0x200D] = cost[0x200B] = cost[0x200C] = cost[0x2060] = cost[0xFEFF] = cost[0xAD] = cost[0xA0] = cost[0x3099] = cost[0x309A] = 0.1
     cost[0x1F000:0x1FB00] = 0.1
     return cost
 
 
 _JIS = re.compile(r"\$[!-s]")
+_ESCAPE = re.compile(r"&#(?:x[0-9A-Fa-f]{2,6}|\d{3,7});|\\u[0-9a-fA-F]{4}|\\x[89a-fA-F][0-9a-fA-F]|%[89A-Fa-f][0-9A-Fa-f]|=[89A-F][0-9A-F](?==|\s|$)")
 _ASCII_RUN = re.compile(r"[!-~]{8,}")
 
 
@@ -95,7 +96,7 @@ def cost_of(text: str) -> float:
         pairs = len(_JIS.findall(run))
         if pairs >= 3 and pairs * 8 > len(run):
             total += 0.8 * pairs
-    return total
+    return total + len(_ESCAPE.findall(text))
 
 
 @lru_cache(200_000)
@@ -272,7 +273,7 @@ STEPS: dict[str, Callable[[str], str]] = {
     "backslash": _backslashes,
     "entity": _entities,
 }
-_ESCAPES = {"entity"}
+_ESCAPES = {"percent", "quoted-printable", "backslash", "entity"}
 
 
 def search(text: str) -> tuple[str, list[str]]:
@@ -283,8 +284,8 @@ def search(text: str) -> tuple[str, list[str]]:
     seen = {hash(text)}
     order = states = 0
     while heap and states < MAX_STATES:
-        at, _, state, path = heapq.heappop(heap)
-        if at > best[0] + 2 * STEP_COST or best[0] <= STEP_COST * len(best[2]):
+        _, _, state, path = heapq.heappop(heap)
+        if best[0] <= STEP_COST * len(best[2]):  # nothing is implausible any more
             break
         states += 1
         for name, step in STEPS.items():
@@ -313,12 +314,12 @@ def judge(text: str) -> tuple[bool, str | None, list[str]]:
     decayed = len(_DECAY.findall(text.rstrip(GAP)))
     if decayed >= 2:
         return True, None, []
-    if path and before - after >= LEAST_GAIN:
+    if path and before - after >= max(LEAST_GAIN, 0.1 * len(text)):  # escaped for the larger part
         return True, new, path
     return False, None, []
 
 
-_ESCAPED = re.compile(r"&#x?[0-9A-Fa-f]{2,6};|%[89A-F][0-9A-F]%|=[89A-F][0-9A-F]=|\\[ux][0-9a-fA-F]{2}|\$[!-s].?\$")
+_ESCAPED = re.compile(_ESCAPE.pattern + r"|\$[!-s].?\$")
 
 
 def judge_all(texts: list[str | None]) -> list[tuple[bool, str | None, list[str]]]:
