@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomtable.plans import reference_queries
+from loomtable.plans import dedup_queries, extract_queries, merge_queries, model_queries, reference_queries, relational_queries, report_queries, rule_queries, text_queries
 
-_MODULES = [reference_queries]
+_MODULES = [reference_queries, text_queries, relational_queries, rule_queries, dedup_queries, merge_queries, report_queries, extract_queries, model_queries]
 
 
 def queries() -> dict:
