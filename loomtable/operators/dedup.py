@@ -60,7 +60,9 @@ def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float =
     """
     rows = df.filter(F.col(text).isNotNull()).select(F.col(group).alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     first = rows.groupBy("group", F.sha2("text", 256).alias("h")).agg(F.min("id").alias("kept_id"))
-    exact = rows.withColumn("h", F.sha2("text", 256)).join(first, [rows["group"].eqNullSafe(first["group"]), F.col("h") == first["h"]]).filter("id <> kept_id").select("id", "kept_id")
+    first = first.select(F.col("group").alias("g"), "h", "kept_id")
+    hashed = rows.withColumn("own", F.sha2("text", 256))
+    exact = hashed.join(first, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("h")]).filter("id <> kept_id").select("id", "kept_id")
     rest = rows.join(exact.select("id"), "id", "left_anti")
     width = 1 + (1 - least) / (1 + (1 - least)) * 2.5
     band = F.floor(F.log(F.greatest(F.length("text"), F.lit(1))) / F.lit(math.log(width)))

@@ -1 +1,137 @@
-QUERIES, SQL = {}, {}
+"""Deduplication and name resolution, each with its SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loomtable.operators import dedup as D
+from loomtable.operators import resolve as E
+from loomtable.plans.base import Plans
+from loomtable.sources.tables import table
+
+query = Plans()
+QUERIES, SQL = query.queries, query.sql
+
+
+@query("dedup_head80", "SELECT record_id, row_number() OVER (PARTITION BY school_id, substr(quote_text, 1, 80) ORDER BY record_id) > 1 AS is_duplicate FROM team_b2_students")
+def dedup_head80(spark, folder):
+    rows = table(spark, folder, "team_b2_students").withColumn("head", F.substring("quote_text", 1, 80))
+    return D.mark_duplicates(rows, ["school_id", "head"], ["record_id"]).select("record_id", "is_duplicate")
+
+
+@query("dedup_role_head", "SELECT record_id FROM (SELECT record_id, row_number() OVER (PARTITION BY speaker_role, substr(quote_text, 1, 60) ORDER BY record_id) AS r FROM team_c_llm_students) WHERE r = 1")
+def dedup_role_head(spark, folder):
+    rows = table(spark, folder, "team_c_llm_students").withColumn("head", F.substring("quote_text", 1, 60))
+    return D.mark_duplicates(rows, ["speaker_role", "head"], ["record_id"]).filter("NOT is_duplicate").select("record_id")
+
+
+@query(
+    "dedup_against_stored",
+    "SELECT record_id FROM (SELECT record_id, quote_text, row_number() OVER (PARTITION BY school_id, quote_text ORDER BY record_id) AS r, school_id FROM team_b2_students WHERE record_id > 300) n WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM team_b2_students o WHERE o.record_id <= 300 AND o.school_id IS NOT DISTINCT FROM n.school_id AND o.quote_text IS NOT DISTINCT FROM n.quote_text)",
+)
+def dedup_against_stored(spark, folder):
+    rows = table(spark, folder, "team_b2_students")
+    stored, batch = rows.filter("record_id <= 300"), rows.filter("record_id > 300")  # the stored part and the new batch are the feature
+    return D.new_rows(batch, stored, ["school_id", "quote_text"], ["record_id"]).select("record_id")
+
+
+@query("dedup_exact_normalised", "SELECT record_id FROM (SELECT record_id, row_number() OVER (PARTITION BY school_id, lower(regexp_replace(quote_text, '[\\s\\x{3000}]+', '', 'g')) ORDER BY record_id) AS r FROM team_c_llm_principal_round4) WHERE r = 1")
+def dedup_exact_normalised(spark, folder):
+    rows = table(spark, folder, "team_c_llm_principal_round4").withColumn("plain", F.lower(F.regexp_replace("quote_text", r"[\s\x{3000}]+", "")))
+    return D.mark_duplicates(rows, ["school_id", "plain"], ["record_id"]).filter("NOT is_duplicate").select("record_id")
+
+
+@query("dedup_keep_longest", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, substr(text, 1, 80) ORDER BY length(text) DESC, doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1")
+def dedup_keep_longest(spark, folder):
+    from loomtable.operators.windows import keep_longest
+
+    docs = table(spark, folder, "documents").filter("text IS NOT NULL").withColumn("head", F.substring("text", 1, 80))
+    return keep_longest(docs, ["source", "head"], "text", "doc_id").select("doc_id")
+
+
+@query("dedup_person_school", "SELECT gf_person_id, matched_school_name, min(record_id) AS record_id, count(*) AS n_claims FROM team_c1_gf GROUP BY 1, 2")
+def dedup_person_school(spark, folder):
+    return table(spark, folder, "team_c1_gf").groupBy("gf_person_id", "matched_school_name").agg(F.min("record_id").alias("record_id"), F.count("*").alias("n_claims"))
+
+
+@query(
+    "source_find_or_create",
+    "SELECT url, dense_rank() OVER (ORDER BY url) + 1000 AS source_id, n FROM (SELECT source_url AS url, count(*) AS n FROM school_philosophy_v2 WHERE source_url IS NOT NULL GROUP BY 1)",
+)
+def source_find_or_create(spark, folder):
+    """Each distinct address gets the next number after the largest stored one, in order."""
+    from loomtable.operators.merge import numbered
+
+    urls = table(spark, folder, "school_philosophy_v2").filter("source_url IS NOT NULL").groupBy(F.col("source_url").alias("url")).agg(F.count("*").alias("n"))
+    return numbered(urls, ["url"], "source_id", 1000)
+
+
+@query("dedup_contained_heads")
+def dedup_contained_heads(spark, folder):
+    """Quotes whose first 40 characters begin, or are begun by, those of an earlier quote of the school."""
+    return D.contained_heads(table(spark, folder, "team_b2_students"), "school_id", "record_id", "quote_text", 40).withColumnRenamed("id", "record_id")
+
+
+@query("dedup_similar")
+def dedup_similar(spark, folder):
+    """Near copies among the messages of each school."""
+    return D.mark_similar(table(spark, folder, "team_c_llm_principal_round4"), "school_id", "record_id", "quote_text")
+
+
+_SHORT = "regexp_replace(name_ja, '(?:中学校|中等部|中等教育学校)$', '')"
+
+
+@query("names_in_texts", f"SELECT g.record_id, n.name FROM team_c1_gf g JOIN (SELECT DISTINCT {_SHORT} AS name FROM schools_v2) n ON contains(g.evidence_text, n.name) WHERE length(n.name) >= 3")
+def names_in_texts(spark, folder):
+    from loomtable.functions.text import without_suffix
+
+    names = table(spark, folder, "schools_v2").select(without_suffix(F.col("name_ja"), ["中学校", "中等部", "中等教育学校"]).alias("name"))
+    found = E.names_in_texts(table(spark, folder, "team_c1_gf"), "record_id", "evidence_text", names, "name", 3)
+    return found.select(F.col("key").alias("record_id"), "name")
+
+
+@query(
+    "longest_name_in_text",
+    f"SELECT record_id, name FROM (SELECT g.record_id, n.name, row_number() OVER (PARTITION BY g.record_id ORDER BY length(n.name) DESC, n.name) AS r FROM team_c1_gf g JOIN (SELECT DISTINCT {_SHORT} AS name FROM schools_v2) n ON contains(g.evidence_text, n.name) WHERE length(n.name) >= 3) WHERE r = 1",
+)
+def longest_name_in_text(spark, folder):
+    from loomtable.functions.text import without_suffix
+
+    names = table(spark, folder, "schools_v2").select(without_suffix(F.col("name_ja"), ["中学校", "中等部", "中等教育学校"]).alias("name"))
+    found = E.names_in_texts(table(spark, folder, "team_c1_gf"), "record_id", "evidence_text", names, "name", 3)
+    return E.longest_name(found).select(F.col("key").alias("record_id"), "name")
+
+
+@query("unique_short_names", f"SELECT short, min(id) AS key FROM (SELECT DISTINCT id, {_SHORT} AS short FROM schools_v2) WHERE length(short) >= 2 GROUP BY 1 HAVING count(DISTINCT id) = 1")
+def unique_short_names(spark, folder):
+    return E.unique_short_names(table(spark, folder, "schools_v2"), "id", "name_ja", ["中学校", "中等部", "中等教育学校"])
+
+
+@query("last_writer_names", f"SELECT {_SHORT} AS name, arg_max(id, row_id) AS value FROM schools_v2 GROUP BY 1")
+def last_writer_names(spark, folder):
+    from loomtable.functions.text import without_suffix
+
+    schools = table(spark, folder, "schools_v2").withColumn("short", without_suffix(F.col("name_ja"), ["中学校", "中等部", "中等教育学校"]))
+    return E.last_writer(schools, "short", "id", "row_id")
+
+
+@query("context_match", "SELECT record_id FROM team_c1_gf WHERE regexp_matches(evidence_text, '蒼森(?:学園|に|へ|の)') AND NOT regexp_matches(evidence_text, '蒼森(?:大学|幼稚園|小学校)')")
+def context_match(spark, folder):
+    good = E.in_context(F.col("evidence_text"), "蒼森", ["学園", "に", "へ", "の"], ["大学", "幼稚園", "小学校"])
+    return table(spark, folder, "team_c1_gf").filter(good).select("record_id")
+
+
+@query("resolve_names")
+def resolve_names(spark, folder):
+    """Schools of claims by exact, suffix-free and prefix names."""
+    claims = table(spark, folder, "team_c1_gf").filter("matched_school_name IS NOT NULL")
+    found = E.resolve_names(claims, "record_id", "matched_school_name", table(spark, folder, "schools_v2"), "id", "name_ja", ["中学校", "中等部", "中等教育学校"])
+    return found.select(F.col("key").alias("record_id"), F.col("entity").alias("school_id"), "tier")
+
+
+@query("biography_blobs", "SELECT gf_person_id, string_agg(part, ' ' ORDER BY record_id, k) AS blob FROM (SELECT gf_person_id, record_id, 1 AS k, name AS part FROM team_c1_gf UNION ALL SELECT gf_person_id, record_id, 2, category FROM team_c1_gf UNION ALL SELECT gf_person_id, record_id, 3, evidence_text FROM team_c1_gf) WHERE part IS NOT NULL GROUP BY 1")
+def biography_blobs(spark, folder):
+    g = table(spark, folder, "team_c1_gf")
+    parts = g.select("gf_person_id", "record_id", F.posexplode(F.array("name", "category", "evidence_text")).alias("k", "part")).filter("part IS NOT NULL")
+    ordered = F.array_sort(F.collect_list(F.struct("record_id", "k", "part")))  # the fields of one person
+    return parts.groupBy("gf_person_id").agg(F.array_join(F.transform(ordered, lambda x: x.part), " ").alias("blob"))
