@@ -159,7 +159,10 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
     first, last = first or "2000-01", last or "2000-01"
     ids = encode_keys(cells.select("key").union(spans.select("key")))
 
-    month = lambda c, other: F.greatest(F.least(F.when(c.rlike(_MONTH), F.substring(c, 1, 7)), F.lit(last)), F.lit(first)) if other is None else F.coalesce(month(c, None), F.lit(other))
+    def month(c: Column, otherwise: str) -> Column:  # within the months that are asked about
+        inside = F.greatest(F.least(F.substring(c, 1, 7), F.lit(last)), F.lit(first))
+        return F.when(c.rlike(_MONTH), inside).otherwise(F.lit(otherwise))
+
     valid = spans.filter(F.coalesce(F.substring("valid_from", 1, 7) <= last, F.lit(True)) & F.coalesce(F.substring("valid_to", 1, 7) >= first, F.lit(True)))
     monthly = valid.withColumn(
         "period",
