@@ -8,9 +8,9 @@ term that stands in such places in df of N records tells its reader log2(N / df)
 who is meant; titles, school teams and roles are shared by many and tell little, names tell
 much. Terms above the disclosure threshold are removed, the others stay.
 
-Two passes: the first sums each candidate's records per batch and then over the corpus, the
-second joins the candidates of each record with those sums by equality. Records without a
-candidate never leave their partition. Null, empty and blank fields hold nothing. Offsets
+The texts are read once; spans and candidates are written to the shared checkpoint folder.
+Records are counted per candidate over the corpus, and candidates are joined with those
+counts by equality. Records without a candidate never leave their partition. Null, empty and blank fields hold nothing. Offsets
 and placeholders are those of the text as given; only the spans found are replaced.
 """
 
@@ -18,19 +18,22 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.mojibake import judge_all
+from loomtable.llm.mojibake import cost_of
+from loomtable.session import cut_lineage
 
 THRESHOLD_BITS = 9.0
 #: In a small corpus a term of one record carries no more than log2(N) bits.
 SMALL_CORPUS_MARGIN = 1.0
 
+#: Mean implausibility of its characters from which a text counts as garbled; a shorter one may be a rare name.
+GARBLED_COST, GARBLED_LEAST_CHARS = 0.2, 25
+
 _FOLD = str.maketrans("".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　‐‑–—−ｰ", "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " ------")
 _GONE = "\x00"
 
@@ -160,24 +163,15 @@ def name_candidates(rest: str, attribute: bool = False) -> list[tuple[str, int,
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, str, list[tuple[str, int, int]], list[tuple[str, int, int]], str]]:
-    texts = batch.column(2).to_pylist()
-    garbled = judge_all(texts)
-    for key, field, text, (bad, _, _) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, garbled):
+    for key, field, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
         if not text:
             continue
         typed, rest = typed_spans(text)
-        names = [] if bad else name_candidates(rest, field == "speaker_attribute")
+        garbled = len(text) >= GARBLED_LEAST_CHARS and cost_of(text) > GARBLED_COST * len(text)  # what stands in such a text names nobody
+        names = [] if garbled else name_candidates(rest, field == "speaker_attribute")
         yield key, field, typed, names, rest
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen: Counter = Counter()
-        for _, _, _, names, _ in _rows(batch):
-            seen.update({t for t, _, _ in names})
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "df"])
-
-
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple[int, str, str, int, int, str | None]] = []
@@ -208,9 +202,11 @@ def find_personal_data(rows: DataFrame, threshold_bits: float = THRESHOLD_BITS)
     """
     n = rows.select(F.count_distinct("key")).first()[0] or 1
     threshold = min(threshold_bits, math.log2(max(n, 2)) - SMALL_CORPUS_MARGIN)
-    df = rows.mapInArrow(_count, "term string, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    # one pass over the texts; what is kept are the candidates
+    spans = cut_lineage(rows.mapInArrow(_spans, "key bigint, field_name string, pii_type string, start int, stop int, term string"))
+    standing = spans.filter("pii_type = 'name'").select("key", "field_name", "term").distinct()
+    df = standing.groupBy("term").agg(F.count("*").alias("df"))
     telling = df.filter(F.log2(F.lit(float(n)) / F.col("df")) >= threshold).select("term")
-    spans = rows.mapInArrow(_spans, "key bigint, field_name string, pii_type string, start int, stop int, term string")
     names = spans.filter("pii_type = 'name'").join(telling, "term", "left_semi")
     return spans.filter("pii_type <> 'name'").drop("term").unionByName(names.drop("term"))
 
