@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +44,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomtable-checkpoint-"))
     return df.checkpoint(eager)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in every Python worker of the session, once per context.
+
+    Workers that find it on their path anyway are not disturbed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_loomtable_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="loomtable-package-")) / "loomtable.zip"  # the driver serves it from here
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._loomtable_shipped = True
