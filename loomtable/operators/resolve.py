@@ -84,3 +84,17 @@ def in_context(text: Column, name: str, followed_by: list[str], not_followed_by:
     """Whether a name occurs right before one of the words, and never right before a word that rules it out."""
     good = text.rlike(f"{name}(?:{'|'.join(followed_by)})")
     return good & ~text.rlike(f"{name}(?:{'|'.join(not_followed_by)})") if not_followed_by else good
+
+
+def curated_matches(rules: DataFrame, persons: DataFrame, least: int = 2) -> DataFrame:
+    """(rule, person, how): persons of rules(rule) by the same name; a rule that no one has, by containment either way.
+
+    Containment meets by equality of stretches (names_in_texts), never by pairs.
+    """
+    rules = rules.select("rule").filter("rule IS NOT NULL").distinct()
+    persons = persons.select("person").filter("person IS NOT NULL").distinct()
+    exact = rules.join(persons, rules.rule == persons.person).select("rule", "person", F.lit("exact").alias("how"))
+    rest = rules.join(exact.select("rule"), "rule", "left_anti")
+    inside = names_in_texts(persons, "person", "person", rest, "rule", least).select(F.col("name").alias("rule"), F.col("key").alias("person"))
+    around = names_in_texts(rest, "rule", "rule", persons, "person", least).select(F.col("key").alias("rule"), F.col("name").alias("person"))
+    return exact.unionByName(inside.unionByName(around).distinct().withColumn("how", F.lit("contained")))

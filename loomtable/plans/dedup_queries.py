@@ -135,3 +135,17 @@ def biography_blobs(spark, folder):
     parts = g.select("gf_person_id", "record_id", F.posexplode(F.array("name", "category", "evidence_text")).alias("k", "part")).filter("part IS NOT NULL")
     ordered = F.array_sort(F.collect_list(F.struct("record_id", "k", "part")))  # the fields of one person
     return parts.groupBy("gf_person_id").agg(F.array_join(F.transform(ordered, lambda x: x.part), " ").alias("blob"))
+
+
+_CURATED = "SELECT DISTINCT CASE WHEN record_id % 2 = 0 THEN substr(name, 1, 3) ELSE name END AS rule FROM team_c1_gf WHERE match_method = 'curated_rule' AND name IS NOT NULL"
+
+
+@query(
+    "curated_matches",
+    f"WITH r AS (SELECT * FROM ({_CURATED}) WHERE length(rule) >= 2), p AS (SELECT DISTINCT name AS person FROM team_c1_gf WHERE name IS NOT NULL), e AS (SELECT rule, person FROM r JOIN p ON rule = person), rest AS (SELECT rule FROM r WHERE rule NOT IN (SELECT rule FROM e)) "
+    "SELECT rule, person, 'exact' AS how FROM e UNION ALL SELECT rule, person, 'contained' FROM rest JOIN p ON contains(person, rule) OR (contains(rule, person) AND length(person) >= 2)",
+)
+def curated_matches(spark, folder):
+    g = table(spark, folder, "team_c1_gf")
+    rules = g.filter("match_method = 'curated_rule' AND name IS NOT NULL").select(F.when(F.col("record_id") % 2 == 0, F.substring("name", 1, 3)).otherwise(F.col("name")).alias("rule")).filter(F.length("rule") >= 2)
+    return E.curated_matches(rules, g.select(F.col("name").alias("person")))

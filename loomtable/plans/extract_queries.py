@@ -131,3 +131,21 @@ def insert_values(spark, folder):
     q = lambda c: F.concat(F.lit("'"), F.replace(F.coalesce(c, F.lit("")), F.lit("'"), F.lit("''")), F.lit("'"))
     text = F.concat(F.lit("INSERT INTO t (a, b, c) VALUES ("), F.col("row_id").cast("string"), F.lit(", "), q("name_ja"), F.lit(", NULL);"))
     return X.inserted_values(s.select("row_id", text.alias("sql")), "row_id", "sql")
+
+
+_SECTIONS = "'<section class=\"v\"><h2>' || coalesce(context, '') || '</h2><p>' || quote_text || '</p><p>' || coalesce(quote_summary, '') || '</p></section><section></section>'"
+
+
+@query(
+    "section_paragraphs",
+    f"SELECT record_id, {_STRIP} AS body FROM (SELECT record_id, unnest(regexp_extract_all(section, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1)) AS html FROM (SELECT record_id, unnest(regexp_extract_all({_SECTIONS}, '(?is)<section(?:\\s[^>]*)?>(.*?)</section>', 1)) AS section FROM team_b2_students))",
+)
+def section_paragraphs(spark, folder):
+    """Paragraphs inside sections: two nested extractions."""
+    from loomtable.functions.text import strip_html
+
+    q = table(spark, folder, "team_b2_students")
+    html = F.concat(F.lit('<section class="v"><h2>'), F.coalesce("context", F.lit("")), F.lit("</h2><p>"), "quote_text", F.lit("</p><p>"), F.coalesce("quote_summary", F.lit("")), F.lit("</p></section><section></section>"))
+    inner = q.select("record_id", F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<section(?:\s[^>]*)?>(.*?)</section>"), F.lit(1))).alias("section"))
+    paragraphs = inner.select("record_id", F.explode(F.regexp_extract_all("section", F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1))).alias("p"))
+    return paragraphs.select("record_id", strip_html(F.col("p")).alias("body"))
