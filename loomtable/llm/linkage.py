@@ -40,7 +40,7 @@ LEAST_CONFIDENCE = 0.5
 PRIOR_VARIANCE, PRIOR_COUNT = 0.03, 5.0
 
 #: Old forms of ideographs before the new ones.
-_OLD = "學学國国澤沢峯峰濱浜嶋島邊辺廣広齋斎髙高櫻桜龍竜瀧滝惠恵榮栄眞真藏蔵彌弥壽寿圓円會会豐豊應応靈霊聲声舊旧黑黒德徳晉晋淺浅條条縣県鷗鴎祿禄莊荘萬万號号實実嶽岳﨑崎𠮷吉靑青"
+_OLD = "學学國国澤沢峯峰濱浜嶋島邊辺廣広齋斎髙高櫻桜龍竜瀧滝惠恵榮栄眞真藏蔵彌弥壽寿圓円會会豐豊應応靈霊聲声舊旧黑黒德徳晉晋淺浅條条縣県鷗鴎祿禄莊荘萬万號号實実嶽岳﨑崎嵜崎𠮷吉靑青"
 _NEW = str.maketrans(dict(zip(_OLD[::2], _OLD[1::2])))
 
 #: Syllables and their Hepburn spelling, small signs handled by rule.

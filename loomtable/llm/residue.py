@@ -13,6 +13,8 @@ rows are judged alike. Texts are taken whole, however long.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,8 +90,40 @@ SCRIPTS = {
 KINDS = {"placeholder": PLACEHOLDERS, "filler": FILLER, "error": ERRORS, "script": SCRIPTS}
 
 
-def _any(patterns: dict[str, str]) -> list[str]:
-    return list(patterns.values())
+#: What has no three Latin letters in a row cannot match an alternative of Latin letters only.
+LATIN = r"[A-Za-z]{3}"
+
+
+def alternatives(pattern: str) -> list[str]:
+    """The top-level alternatives of a pattern, each with the flags that begin it."""
+    flags = re.match(r"\(\?[a-z]+\)", pattern)
+    flag, body = (flags.group(0), pattern[flags.end() :]) if flags else ("", pattern)
+    out, depth, start, k, in_class = [], 0, 0, 0, False
+    while k < len(body):
+        c = body[k]
+        if c == "\\":
+            k += 1
+        elif in_class:
+            in_class = c != "]" or k == opened + 1
+        elif c == "[":
+            in_class, opened = True, k
+        elif c == "|" and depth == 0:
+            out.append(flag + body[start:k])
+            start = k + 1
+        else:
+            depth += (c == "(") - (c == ")")
+        k += 1
+    return [*out, flag + body[start:]]
+
+
+def _gated(said: Column, patterns: dict[str, str]) -> Column:
+    """Whether any pattern matches; alternatives that need Latin letters are tried only where there are some."""
+    every = [a for p in patterns.values() for a in alternatives(p)]
+    needs = [a for a in every if re.fullmatch(r"[\x00-\x7f]+", a) and re.search(r"[A-Za-z]{3}", re.sub(r"\\[a-zA-Z]|\(\?[a-z:]+", " ", a)) and not re.search(r"\[A-Z\]|\|\)\?|\\1", a)]
+    rest = [a for a in every if a not in needs]
+    join = lambda parts: "|".join(f"(?:{a})" for a in parts)
+    hit = said.rlike(join(rest)) if rest else F.lit(False)
+    return hit | (said.rlike(LATIN) & said.rlike(join(needs))) if needs else hit
 
 
 def spoken(text: Column) -> Column:
@@ -99,20 +133,29 @@ def spoken(text: Column) -> Column:
 
 def residue_kinds(text: Column) -> Column:
     """Sorted array of the kinds found: 'error', 'filler', 'placeholder', 'script'."""
-    said = spoken(text)
-    hits = {kind: F.lit(False) for kind in KINDS}
-    delimited = said.rlike(DELIMITER)  # cheap, and false for most texts
-    for kind, patterns in KINDS.items():
-        for pattern in _any(patterns):
-            hits[kind] = hits[kind] | (delimited & said.rlike(pattern) if kind == "placeholder" else said.rlike(pattern))
-    hits["placeholder"] = hits["placeholder"] & ((~said.rlike(TUTORIAL)) | (placeholder_density(text) >= MIN_TUTORIAL_DENSITY))
-    found = F.array(*(F.when(hits[kind], F.lit(kind)) for kind in sorted(KINDS)))
-    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array_compact(found))
-
-
-def placeholder_density(text: Column) -> Column:
-    """Share of the text's characters that stand in placeholders."""
-    said = spoken(text)
+
+    def kinds(said: Column) -> Column:
+        hits = {kind: F.lit(False) for kind in KINDS}
+        delimited = said.rlike(DELIMITER)  # cheap, and false for most texts
+        for kind, patterns in KINDS.items():
+            if kind == "placeholder":
+                for pattern in patterns.values():
+                    hits[kind] = hits[kind] | (delimited & said.rlike(pattern))
+            else:
+                backward = {n: p for n, p in patterns.items() if "\\1" in p}  # back references keep their own groups
+                hits[kind] = _gated(said, {n: p for n, p in patterns.items() if n not in backward})
+                for pattern in backward.values():
+                    hits[kind] = hits[kind] | said.rlike(pattern)
+        hits["placeholder"] = hits["placeholder"] & ((~said.rlike(TUTORIAL)) | (placeholder_density(said) >= MIN_TUTORIAL_DENSITY))
+        return F.array_compact(F.array(*(F.when(hits[kind], F.lit(kind)) for kind in sorted(KINDS))))
+
+    # bound as a lambda's variable, what is said is worked out once per row, not once per pattern
+    found = F.get(F.transform(F.array(spoken(text)), lambda said: kinds(said)), F.lit(0))
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(found)
+
+
+def placeholder_density(said: Column) -> Column:
+    """Share of the characters that stand in placeholders."""
     rest = F.regexp_replace(said, "|".join(f"(?:{p})" for p in PLACEHOLDERS.values()), "")
     return F.when(F.length(said) > 0, 1 - F.length(rest) / F.length(said)).otherwise(0.0)
 
