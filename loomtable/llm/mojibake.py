@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 STEP_COST = 0.3
 LEAST_GAIN = 1.0
 MAX_STATES = 40  # expanded states of one text; a path needs one to four
+PATIENCE = 12  # states that are expanded without coming closer
 GAP = "�"
 _SUSPECT = 0.9  # cost below which no search begins
 
@@ -134,6 +135,8 @@ def _as_utf8(codec: str) -> Callable[[str], str]:
             b = b if b is not None else (b"\xff" if ch == GAP else b"\xfe")
             raw += b
             owner += [i] * len(b)
+        if not sequence.search(raw):
+            return run
         table = costs()
         out: list[str] = []
         used = at = 0  # characters given out, bytes looked at
@@ -150,8 +153,9 @@ def _as_utf8(codec: str) -> Callable[[str], str]:
                 piece.clear()
 
         while at < len(raw):
-            m = sequence.match(raw, at)
+            m = sequence.match(raw, at) if piece else sequence.search(raw, at)
             if m:
+                at = m.start()
                 first = owner[at]
                 if not piece:
                     out.append(run[used:first])
@@ -161,26 +165,27 @@ def _as_utf8(codec: str) -> Callable[[str], str]:
                 piece.append(m.group(0).decode("utf-8"))
                 at = m.end()
                 continue
-            if piece:
-                b = raw[at]
-                inside = at and owner[at - 1] == owner[at]
-                if b < 0x80 and inside:  # ASCII that was swallowed as a second byte
-                    piece.append(chr(b))
+            if not piece:
+                break
+            b = raw[at]
+            inside = at and owner[at - 1] == owner[at]
+            if b < 0x80 and inside:  # ASCII that was swallowed as a second byte
+                piece.append(chr(b))
+                at += 1
+                continue
+            if b == 0xFF or 0x80 <= b < 0xC0 or 0xE0 <= b < 0xF0 or inside:  # a byte of a lost sequence
+                nxt = next((k for k in range(at + 1, min(at + 5, len(raw))) if sequence.match(raw, k)), None)
+                ends = at + 3 >= len(raw) or owner[at] >= len(run) - 2
+                if nxt is not None and b != 0xFE or ends and b != 0xFE:
+                    if piece[-1] != GAP:
+                        piece.append(GAP)
+                    at = nxt if nxt is not None else len(raw)
+                    continue
+                if inside:
+                    piece.append(GAP)
                     at += 1
                     continue
-                if b == 0xFF or 0x80 <= b < 0xC0 or 0xE0 <= b < 0xF0 or inside:  # a byte of a lost sequence
-                    nxt = next((k for k in range(at + 1, min(at + 5, len(raw))) if sequence.match(raw, k)), None)
-                    ends = at + 3 >= len(raw) or owner[at] >= len(run) - 2
-                    if nxt is not None and b != 0xFE or ends and b != 0xFE:
-                        if piece[-1] != GAP:
-                            piece.append(GAP)
-                        at = nxt if nxt is not None else len(raw)
-                        continue
-                    if inside:
-                        piece.append(GAP)
-                        at += 1
-                        continue
-                close(owner[at])
+            close(owner[at])
             at += 1
         close(len(run))
         out.append(run[used:])
@@ -282,12 +287,13 @@ def search(text: str) -> tuple[str, list[str]]:
     best: tuple[float, str, tuple[str, ...]] = (first, text, ())
     heap = [(first, 0, text, ())]
     seen = {hash(text)}
-    order = states = 0
-    while heap and states < MAX_STATES:
+    order = states = since = 0
+    while heap and states < MAX_STATES and since < PATIENCE:
         _, _, state, path = heapq.heappop(heap)
         if best[0] <= STEP_COST * len(best[2]):  # nothing is implausible any more
             break
         states += 1
+        since += 1
         for name, step in STEPS.items():
             reached = step(state)
             if reached == state or hash(reached) in seen:
@@ -298,6 +304,7 @@ def search(text: str) -> tuple[str, list[str]]:
             heapq.heappush(heap, (total, order, reached, (*path, name)))
             if total < best[0]:
                 best = (total, reached, (*path, name))
+                since = 0
     return best[1], list(best[2])
 
 
