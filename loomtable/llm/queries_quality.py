@@ -50,6 +50,6 @@ c AS (
     len(list_filter(regexp_extract_all(lower(t), '[a-z]+'), lambda x: list_contains(en.w, x))) + len(regexp_extract_all(t, ja.p)) AS common
   FROM d, ja, en)
 SELECT doc_id, length(t) AS n_chars, w AS n_words, {_share('letters', 'w')} AS mean_word_length, {_share(_without(quality.NO_SYMBOL), 'solid')} AS symbol_ratio,
-  {_share("length(t) - " + _without('[0-9]'), 'solid')} AS digit_ratio, lines AS n_lines, {_share('ended', 'lines')} AS ended_line_share, {_share('common', 'w')} AS common_word_share
+  {_share("length(t) - " + _without('[0-9]+'), 'solid')} AS digit_ratio, lines AS n_lines, {_share('ended', 'lines')} AS ended_line_share, {_share('common', 'w')} AS common_word_share
 FROM c"""
 }
