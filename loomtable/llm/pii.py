@@ -86,7 +86,7 @@ FRAMES = [
 #: Words that stand where names stand: forms of address and roles, not the names of anyone.
 TITLES = frozenset(
     "皆 皆様 生徒 学生 校長 副校長 理事長 学園長 院長 教頭 担任 副担任 顧問 先輩 後輩 友 友達 仲間 同級生 保護者 母 父 兄 姉 弟 妹 祖父 祖母 お客 お母 お父 監督 部長 副部長 会長 主将 寮長 委員長 神 客 何 誰 各 貴 高校 中学 中学校 小学校 大学 学校 教科 数学 英語 国語 理科 社会 体育 音楽 美術 専任 新任 非常勤"
-    " おばあ おじい おかあ おとう おにい おねえ みなみな Teacher Coach Principal English Japanese".split()
+    " おばあ おじい おかあ おとう おにい おねえ みなみな Teacher Coach Principal English Japanese TEL Tel 連絡先 在住 電話 電話番号 携帯 メール 住所 自宅".split()
 )
 _NOT_NAME = re.compile(r"○|〇|◯|学園|学院|学校|中学|高校|大学|^(?:the|The|My|I|In|At)$")
 #: In a description of a speaker, what ends like a place, a club or a body is none either.
