@@ -26,37 +26,41 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[
     return mark_duplicates(fresh, list(key), order).filter("NOT is_duplicate").drop("is_duplicate")
 
 
+BLOCK_ROWS = 200
+
+
 def _similar(least: float, guard: float):
+    """Of a block, which holds one or two chunks, the pairs within the one or between the two that are alike."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
-        texts, ids = rows["text"].tolist(), rows["id"].tolist()
-        gone: dict[int, int] = {}
+        ids, texts, chunks = (rows[c].tolist() for c in ("id", "text", "chunk"))
+        two = len(set(chunks)) > 1
+        lost: dict[int, int] = {}
         for i in range(len(texts)):
-            if i in gone:
-                continue
-            for j in range(i + 1, len(texts)):
-                a, b = texts[i], texts[j]
-                if j in gone or abs(len(a) - len(b)) > guard * min(len(a), len(b)):
+            m = difflib.SequenceMatcher(None, "", texts[i])  # the later text of a pair; its index is made once
+            for j in range(i):
+                a, b = texts[j], texts[i]
+                if two and chunks[i] == chunks[j] or abs(len(a) - len(b)) > guard * min(len(a), len(b)):
                     continue
-                m = difflib.SequenceMatcher(None, a, b)
+                m.set_seq1(a)
                 if m.real_quick_ratio() < least or m.quick_ratio() < least or m.ratio() < least:
                     continue
-                loser = j if len(b) <= len(a) else i
-                gone[loser] = i + j - loser
-                if loser == i:
-                    break
-        return pd.DataFrame({"id": [ids[k] for k in gone], "kept_id": [ids[v] for v in gone.values()]}, columns=["id", "kept_id"]).astype("int64")
+                loser, winner = (i, j) if len(b) <= len(a) else (j, i)
+                lost[ids[loser]] = min(lost.get(ids[loser], ids[winner]), ids[winner])
+        return pd.DataFrame({"id": list(lost), "kept_id": list(lost.values())}, columns=["id", "kept_id"]).astype("int64")
 
     return run
 
 
 def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float = 0.95, guard: float = 0.5) -> DataFrame:
-    """(id, kept_id): rows whose text is a near copy of another of its group, with the one that stays.
+    """(id, kept_id): rows whose text is a near copy of a longer, or of equals an earlier, one of its group.
 
-    difflib's ratio, greedily by key; the shorter text goes, of equals the later. Copies are
-    removed by hash first. Near copies of a ratio of 0.95 have lengths within 1 / 19 of each
-    other, so texts meet only in overlapping bands of length; a band of a group is one task,
-    however large the group. Null texts are in no pair.
+    The measure is difflib's ratio. Copies are removed by hash first. Near copies have lengths
+    within (2 - least) / least of each other, so texts meet only in overlapping bands of length.
+    A band of a group is cut into chunks of about BLOCK_ROWS rows, and every two chunks are
+    compared in a task of their own: no task holds more than two chunks, however large the
+    group, and no pair is left out. Null texts are in no pair.
     """
     rows = df.filter(F.col(text).isNotNull()).select(F.col(group).alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     first = rows.groupBy("group", F.sha2("text", 256).alias("h")).agg(F.min("id").alias("kept_id"))
@@ -64,11 +68,16 @@ def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float =
     hashed = rows.withColumn("own", F.sha2("text", 256))
     exact = hashed.join(first, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("h")]).filter("id <> kept_id").select("id", "kept_id")
     rest = rows.join(exact.select("id"), "id", "left_anti")
-    width = 1 + (1 - least) / (1 + (1 - least)) * 2.5
-    band = F.floor(F.log(F.greatest(F.length("text"), F.lit(1))) / F.lit(math.log(width)))
+    width = math.log((2 - least) / least) * 1.01
+    band = F.floor(F.log(F.greatest(F.length("text"), F.lit(1)).cast("double")) / width)
     # texts of neighbouring bands meet in the pair of bands they share
-    pairs = rest.withColumn("band", F.explode(F.array(band, band + 1)))
-    near = pairs.groupBy("group", "band").applyInPandas(_similar(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
+    banded = rest.withColumn("band", F.explode(F.array(band, band + 1)))
+    sizes = banded.groupBy(F.col("group").alias("g"), F.col("band").alias("b")).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_chunks"))
+    cut = banded.join(sizes, [F.col("group").eqNullSafe(F.col("g")), F.col("band") == F.col("b")]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("n_chunks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("n_chunks") - 1), lambda d: F.struct(F.least("chunk", d).alias("x"), F.greatest("chunk", d).alias("y")))
+    blocks = cut.withColumn("block", F.explode(others)).select("group", "band", "block", "chunk", "id", "text")
+    # a row meets its own chunk in each of its blocks of two; there only pairs across chunks count
+    near = blocks.groupBy("group", "band", "block").applyInPandas(_similar(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
     return exact.unionByName(near)
 
 

@@ -101,6 +101,21 @@ def test_similar_rows_are_found(spark):
     assert got == {2, 3}
 
 
+def test_similar_rows_in_many_chunks(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(dedup, "BLOCK_ROWS", 3)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(14)]
+    texts += [t[:30] + "z" + t[31:] for t in texts[:6]] + [t + "q" for t in texts[6:9]]
+    df = spark.createDataFrame([(i, "g", t) for i, t in enumerate(texts)], "id bigint, grp string, text string")
+    want = set()
+    for i, b in enumerate(texts):
+        for j, a in enumerate(texts[:i]):
+            if difflib.SequenceMatcher(None, a, b).ratio() >= 0.95:
+                want.add(i if len(b) <= len(a) else j)
+    assert len(want) == 9
+    assert {r.id for r in dedup.mark_similar(df, "grp", "id", "text").collect()} == want
+
+
 def test_contained_heads(spark):
     rows = [(1, "g", "abcdef"), (2, "g", "abc"), (3, "g", "abcdef"), (4, "g", "xbc"), (5, "h", "abc"), (6, "g", None), (7, "g", "abcdefgh")]
     df = spark.createDataFrame(rows, "id bigint, grp string, text string")
