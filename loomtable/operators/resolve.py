@@ -25,8 +25,15 @@ def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name
         return rows.limit(0).select("key", F.lit("").alias("name"), F.lit(0).alias("at"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(kind: pa.DataType) -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(parts, pa.string()), pa.array(places, pa.int32())], names=["key", "name", "at"])
+            for kept in (ids, parts, places):
+                kept.clear()
+            return out
+
+        ids, parts, places = [], [], []
         for batch in batches:
-            ids, parts, places = [], [], []
+            kind = batch.schema.field(0).type
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 first: dict[str, int] = {}
                 for n in lengths:
@@ -35,9 +42,10 @@ def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name
                 ids += [k] * len(first)
                 parts += first.keys()
                 places += first.values()
-            for a in range(0, len(ids), 200_000):
-                b = a + 200_000
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], batch.schema.field(0).type), pa.array(parts[a:b], pa.string()), pa.array(places[a:b], pa.int32())], names=["key", "name", "at"])
+                if len(ids) > 100_000:
+                    yield made(kind)
+            if ids:
+                yield made(kind)
 
     stretches = rows.mapInArrow(cut, f"key {rows.schema['key'].dataType.simpleString()}, name string, at int")
     return stretches.join(known, "name").select("key", "name", "at")
