@@ -85,13 +85,15 @@ def sound(roman: str) -> str:
     return re.sub(r"([^aiueo\d])\1", r"\1", s)
 
 
-_OTHER = re.compile(r"大学|小学校|小学部|初等部|高等学校|高校|高等部|幼稚園|保育園|専門学校|短大|大学院|高専|だいがく|しょうがっこう|こうとうがっこう|こうこう$|ようちえん|(?i:univ|college|elementary|primary|kindergarten|(?<!junior )(?:senior )?high school)")
+_OTHER = re.compile(r"大学|小学校|小学部|初等部|高等学校|高校|高等部|幼稚園|保育園|専門学校|短大|大学院|高専|しょうがっこう|こうとうがっこう|こうこう$|ようちえん|(?i:univ|college|elementary|primary|kindergarten|(?<!junior )(?:senior )?high school)")
 _LEVELS = [("中等教育学校", "six"), ("ちゅうとうきょういくがっこう", "six"), ("中等教育学", "six"), ("中等教育校", "six"), ("中等部", "part"), ("ちゅうとうぶ", "part"), ("中学校", "junior"), ("ちゅうがっこう", "junior"), ("中学", "junior"), ("中校", "junior"), ("中", "junior"), ("学校", ""), ("がっこう", "")]
 _BASES = {"学院": "院", "学園": "園", "学舎": "舎", "義塾": "塾", "がくいん": "院", "がくえん": "園", "がくしゃ": "舎", "ぎじゅく": "塾", "院": "院", "園": "園", "舎": "舎", "塾": "塾", "学": "学"}
 #: With one character lost.
 _LEVELS += [(v, level) for end, level in _LEVELS if len(end) >= 4 for v in dict.fromkeys(end[:k] + end[k + 1 :] for k in range(len(end))) if v not in dict(_LEVELS)]
 _LEVELS.sort(key=lambda x: -len(x[0]))
 _BASES["義"] = "塾"
+#: A university as it sounds; いん, えん and しゃ after it belong to a school's base (…台学院, …台学園, …台学舎).
+_UNIVERSITY_KANA = re.compile(r"だいがく(?!いん|えん|しゃ)")
 _LATIN_LEVELS = [("junior high school", "junior"), ("secondary school", "six"), ("chutokyoikugakko", "six"), ("chutobu", "part"), ("chugakko", "junior"), ("junior high", "junior"), ("middle school", "junior"), ("school", "")]
 _LATIN_BASES = {"gakuin": "院", "gakuen": "園", "gakusha": "舎", "gijuku": "塾", "academy": "園"}
 
@@ -103,6 +105,13 @@ def _cut_end(text: str, ends) -> tuple[str, str | None]:
     return text, None
 
 
+def _of_other_kind(text: str) -> bool:
+    """Whether the name is one of another kind of institution; as it sounds, a university has no level of a school at its end."""
+    if _OTHER.search(text):
+        return True
+    return bool(_UNIVERSITY_KANA.search(text)) and not dict(_LEVELS).get(_cut_end(text, [e for e, _ in _LEVELS])[1])
+
+
 def parse_name(name: str) -> dict | None:
     """The parts of a school's name, already in its consistent form; None if another kind of institution or nothing."""
     s = name.translate(_NEW).strip()
@@ -114,7 +123,7 @@ def parse_name(name: str) -> dict | None:
     s = re.sub(r"^旧制\s*", "", s)
     s = re.sub(r"高等女学校$", "中学校", s)
     s = re.sub(r"^(?:私立|市立|県立|国立|公立|学校法人)\s*", "", s)
-    if not s or _OTHER.search(s):
+    if not s or _of_other_kind(s):
         return None
     out = {"kind": None, "level": None, "where": next((n for n in notes if n not in ("休校", "閉校", "旧", "仮")), None), "operator": operator.group(1) if operator else None}
     if re.fullmatch(r"[A-Za-z .'\-ōūāēī]+", s):

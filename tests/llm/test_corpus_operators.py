@@ -106,6 +106,25 @@ def test_names_and_snippets_are_parsed():
     assert (said["year"], said["operator"], said["pupils"], said["place"]) == (1868, "燈坂学園", "coed", "灯台北町")
 
 
+def test_readings_of_schools_on_a_height_are_no_universities():
+    for written, read in (("院", "いん"), ("園", "えん"), ("舎", "しゃ")):
+        for end in ("ちゅうがっこう", "ちゅうとうぶ", ""):
+            got = linkage.parse_name(f"こだいがく{read}{end}")
+            assert got["kind"] == f"||{written}" and got["keys"] == ["t:こだい", "s:kodai"]
+    assert linkage.parse_name("こだいがくえちゅうがっこう")["level"] == "junior"  # a sign lost
+    for other in ("なぎのみやだいがく", "なぎのみやだいがくほうがくぶ", "凪ノ宮大学", "凪ノ宮大学院", "こだいしょうがっこう"):
+        assert linkage.parse_name(other) is None
+
+
+def test_claims_meet_a_school_read_with_daigaku(spark):
+    master = spark.createDataFrame([("s4", "琥台学舎中学校", "こだいがくしゃちゅうがっこう", "水門港市", "碧海県", 1964, None, "girls"), *MASTER], "id string, name string, kana string, town string, prefecture string, year int, operator string, pupils string")
+    said = [("こだいがくしゃちゅうがっこう", "碧海県水門港市の学校、女子校、昭和39年創立である同校に在籍した。", "s4"), ("Kodai Gakusha", "碧海県水門港市の学校、昭和39年創立である同校で教鞭をとった。", "s4"), ("こだいだいがく", "碧海県水門港市の学校、昭和39年創立である同校に学んだ。", None)]
+    rows = [(k * 100 + n, a, b) for k, (a, b, _) in enumerate([*said, *(c[1:] for c in CLAIMS)]) for n in range(6)]
+    claims = spark.createDataFrame(rows, "record_id bigint, name string, snippet string")
+    got = {r.key: r.school_id for r in linkage.matches(claims, "record_id", "name", "snippet", master).collect() if r.key < 300}
+    assert got == {k * 100 + n: s for k, (_, _, s) in enumerate(said) if s for n in range(6)}
+
+
 def test_posteriors_of_a_claim_exclude_each_other():
     m = linkage.Mixture()
     x = np.array([[1.0] * 8, [1.0] * 8, [0.0] * 8, [np.nan] * 8])
