@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import difflib
 import math
+import zlib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,16 +84,67 @@ def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float =
     return exact.unionByName(near)
 
 
+def _anchor(window: str) -> str:
+    """Of a window its stretch of half the length with the least checksum; the same wherever the window stands."""
+    k = max(1, len(window) // 2)
+    return min((window[i : i + k] for i in range(len(window) - k + 1)), key=lambda g: (zlib.crc32(g.encode("utf-8", "surrogatepass")), g))
+
+
+def _anchors(text: str, size: int) -> set[str]:
+    """The anchors of all windows of a size; each checksum is made once."""
+    k = max(1, size // 2)
+    grams = [text[i : i + k] for i in range(len(text) - k + 1)]
+    ranks = [(zlib.crc32(g.encode("utf-8", "surrogatepass")), g) for g in grams]
+    out, best, w = set(), -1, size - k + 1
+    for i in range(len(text) - size + 1):
+        if best < i:
+            best = min(range(i, i + w), key=ranks.__getitem__)
+        elif ranks[i + w - 1] < ranks[best]:
+            best = i + w - 1
+        out.add(grams[best])
+    return out
+
+
+def _text_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["group", "id", "size", "anchor"]
+    for batch in batches:
+        groups, ids, texts, sizes = (batch.column(i).to_pylist() for i in range(4))
+        rows: list[tuple] = []
+        for last, (g, k, t, of) in enumerate(zip(groups, ids, texts, sizes), 1 - batch.num_rows):
+            rows += [(g, k, size, a) for size in of if size <= len(t) for a in _anchors(t, size)]
+            if rows and (len(rows) > 100_000 or last == 0):
+                kinds = [batch.schema.field(0).type, batch.schema.field(1).type, pa.int32(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
+                rows = []
+
+
+def _head_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        heads = batch.column(1).to_pylist()
+        sizes = [1 << len(h).bit_length() - 1 for h in heads]
+        added = [pa.array(sizes, pa.int32()), pa.array([_anchor(h[:size]) for h, size in zip(heads, sizes)], pa.string())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=["g", "head", "first", "size", "anchor"])
+
+
 def contained_heads(df: DataFrame, group: str, key: str, text: str, n: int = 80) -> DataFrame:
-    """Keys of rows whose head begins with, or is begun by, the head of an earlier row of the group.
+    """Keys of rows whose first n characters stand anywhere in the text of an earlier row of the group, or the other way round.
 
-    Only prefixes of a head can contain or be contained, so rows meet by equality of prefixes
-    of the lengths that occur, not pairwise.
+    Every earlier row counts, itself such a row or not. A head of 2^j characters or more
+    (fewer than 2^(j+1)) goes by one anchor, the stretch of 2^(j-1) with the least checksum
+    in its first 2^j; a text that holds the head has this anchor among those of its windows
+    of 2^j. Rows meet heads by equality of anchors, and only those are searched. Equal heads
+    of a group are one, so a head that a whole group begins with meets each row once.
     """
-    rows = df.filter(F.length(text) > 0).select(F.col(group).alias("group"), F.col(key).alias("id"), F.substring(text, 1, n).alias("head"))
-    heads = rows.groupBy("group", "head").agg(F.min("id").alias("first"))
-    dup = rows.join(heads.withColumnRenamed("group", "g"), [F.col("group").eqNullSafe(F.col("g")), rows["head"] == heads["head"]]).filter("id <> first").select("id")
-    longer = heads.filter(F.length("head") > 1).select(F.col("group").alias("g"), F.col("first").alias("other"), F.explode(F.transform(F.sequence(F.lit(1), F.length("head") - 1), lambda k: F.substring("head", F.lit(1), k))).alias("prefix"))
-    met = heads.join(longer, [F.col("group").eqNullSafe(F.col("g")), F.col("head") == F.col("prefix")])
-    later = met.select(F.greatest("first", "other").alias("id"))
-    return dup.union(later).distinct()
+    rows = df.filter(F.length(text) > 0).select(F.col(group).alias("group"), F.col(key).alias("id"), F.col(text).alias("text"), F.substring(text, 1, n).alias("head"))
+    heads = rows.groupBy(F.col("group").alias("g"), "head").agg(F.min("id").alias("first"))
+    kind = {c: rows.schema[c].dataType.simpleString() for c in ("group", "id")}
+    anchored = heads.mapInArrow(_head_anchors, f"g {kind['group']}, head string, first {kind['id']}, size int, anchor string")
+    sizes = anchored.groupBy("g").agg(F.collect_set("size").alias("sizes"))
+    asked = rows.join(sizes, F.col("group").eqNullSafe(F.col("g"))).select("group", "id", "text", "sizes")
+    places = asked.mapInArrow(_text_anchors, f"group {kind['group']}, id {kind['id']}, size int, anchor string")
+    near = places.join(anchored.withColumnsRenamed({"size": "s", "anchor": "a"}), [F.col("group").eqNullSafe(F.col("g")), F.col("size") == F.col("s"), F.col("anchor") == F.col("a")])
+    near = near.select("g", "head", "first", F.col("id").alias("holder"))
+    held = near.join(rows.select("group", "id", "text"), [F.col("g").eqNullSafe(F.col("group")), F.col("holder") == F.col("id")]).filter(F.col("text").contains(F.col("head")))
+    holders = held.groupBy("g", "head").agg(F.min("holder").alias("first_holder"))
+    inside = rows.select("group", "id", F.col("head").alias("own")).join(holders, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("head")]).filter("first_holder < id")
+    return held.filter("first < holder").select(F.col("holder").alias("id")).union(inside.select("id")).distinct()

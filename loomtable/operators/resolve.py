@@ -71,19 +71,24 @@ def last_writer(entities: DataFrame, name: str, value: str, order: str) -> DataF
 def resolve_names(names: DataFrame, key: str, name: str, entities: DataFrame, entity: str, entity_name: str, suffixes: list[str], separators: str = r"[、,/／・|\s]+") -> DataFrame:
     """(key, entity, tier): the entity of each name; parts of a name are tried in order.
 
-    Tier 1 is the same name, 2 the same without suffixes, 3 a name that begins with the
-    other. Within a tier the longest name wins, then the larger name, then the larger key.
+    Tier 1 is the same name, 2 the same without suffixes, 3 a name that stands anywhere in
+    the other, the asked one also without its suffix. A form of one character asks for
+    nothing. Within a tier the longest name wins, then the larger name, then the larger key.
+    Containment meets by equality of stretches (names_in_texts), and of each part only the
+    longest name met goes on.
     """
     parts = names.select(F.col(key).alias("key"), F.posexplode(F.concat(F.array(F.col(name)), F.split(F.col(name), separators))).alias("pos", "part")).filter(F.length("part") >= 2)
     known = entities.select(F.col(entity).alias("entity"), F.col(entity_name).alias("known")).distinct()
     bare = lambda c: without_suffix(F.col(c), suffixes)
     one = parts.join(known, parts.part == known.known).select("key", "pos", "entity", "known", F.lit(1).alias("tier"))
     two = parts.withColumn("b", bare("part")).join(known.withColumn("kb", bare("known")), F.col("b") == F.col("kb")).filter(F.length("b") >= 2).select("key", "pos", "entity", "known", F.lit(2).alias("tier"))
-    starts = lambda c: F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.length(c), F.lit(2))), lambda n: F.substring(F.col(c), F.lit(1), n)))
-    three_a = parts.withColumn("s", starts("part")).join(known, F.col("s") == F.col("known"))
-    three_b = known.withColumn("s", starts("known")).join(parts, F.col("s") == F.col("part"))
-    cols = ["key", "pos", "entity", "known", F.lit(3).alias("tier")]
-    every = one.union(two).union(three_a.select(*cols)).union(three_b.select(*cols))
+    asked = parts.select("part").distinct()
+    sought = asked.select("part", F.explode(F.array_distinct(F.array("part", bare("part")))).alias("form"))
+    inside = names_in_texts(asked, "part", "part", known, "known", 1).select(F.col("key").alias("part"), F.col("name").alias("known"))
+    around = names_in_texts(known.select("known").distinct(), "known", "known", sought, "form").select(F.col("key").alias("known"), F.col("name").alias("form"))
+    met = inside.union(around.join(sought, "form").select("part", "known")).groupBy("part").agg(F.max_by("known", F.struct(F.length("known"), "known")).alias("known"))
+    three = parts.join(met, "part").join(known.groupBy("known").agg(F.max("entity").alias("entity")), "known").select("key", "pos", "entity", "known", F.lit(3).alias("tier"))
+    every = one.union(two).union(three)
     w = Window.partitionBy("key").orderBy("tier", "pos", F.length("known").desc(), F.desc("known"), F.desc("entity"))
     return every.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("key", "entity", "tier")
 

@@ -68,8 +68,8 @@ def source_find_or_create(spark, folder):
 
 @query("dedup_contained_heads")
 def dedup_contained_heads(spark, folder):
-    """Quotes whose first 40 characters begin, or are begun by, those of an earlier quote of the school."""
-    return D.contained_heads(table(spark, folder, "team_b2_students"), "school_id", "record_id", "quote_text", 40).withColumnRenamed("id", "record_id")
+    """Quotes whose first 80 characters stand in an earlier quote of the school, or that hold the first 80 of one."""
+    return D.contained_heads(table(spark, folder, "team_b2_students"), "school_id", "record_id", "quote_text").withColumnRenamed("id", "record_id")
 
 
 @query("dedup_similar")
@@ -123,7 +123,7 @@ def context_match(spark, folder):
 
 @query("resolve_names")
 def resolve_names(spark, folder):
-    """Schools of claims by exact, suffix-free and prefix names."""
+    """Schools of claims by exact, suffix-free and contained names."""
     claims = table(spark, folder, "team_c1_gf").filter("matched_school_name IS NOT NULL")
     found = E.resolve_names(claims, "record_id", "matched_school_name", table(spark, folder, "schools_v2"), "id", "name_ja", ["中学校", "中等部", "中等教育学校"])
     return found.select(F.col("key").alias("record_id"), F.col("entity").alias("school_id"), "tier")

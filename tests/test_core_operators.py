@@ -123,6 +123,18 @@ def test_contained_heads(spark):
     assert {r.id for r in dedup.contained_heads(df, "grp", "id", "text", 5).collect()} == want
 
 
+def test_contained_heads_anywhere_in_the_text(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["g", "g", "h", None]), "".join(rng.choice("abc") for _ in range(rng.randint(0, 14)))) for i in range(120)]
+    long = "".join(rng.choice("abcdefgh") for _ in range(90))
+    rows += [(200, "l", long), (201, "l", "z" * 37 + long[:80] + "y"), (202, "l", "y" + long[:79]), (203, "l", long[9:60]), (204, "l", None), (205, "m", long)]
+    df = spark.createDataFrame(rows, "id bigint, grp string, text string")
+    for n in (5, 80):
+        want = {b for a, g, s in rows for b, h, t in rows if a < b and g == h and s and t and (s[:n] in t or t[:n] in s)}
+        assert {r.id for r in dedup.contained_heads(df, "grp", "id", "text", n).collect()} == want
+    assert {201, 203} <= want and not {202, 205} & want
+
+
 def test_names_in_texts_against_brute_force(spark):
     rng = random.Random(5)
     texts = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))) for i in range(60)] + [(99, None)]
@@ -140,6 +152,13 @@ def test_resolver_tiers(spark):
     assert got == {1: ("1", 1), 2: ("3", 2), 3: ("2", 1), 4: ("1", 2)}
 
 
+def test_resolver_meets_names_inside_names(spark):
+    schools = spark.createDataFrame([("1", "汐台義塾中学校"), ("2", "台義塾中学校"), ("3", "旧榛丘学院中等部"), ("4", "汐台義塾中学校")], "id string, name string")
+    asked = spark.createDataFrame([(1, "私立汐台義塾中学校"), (2, "榛丘学院"), (3, "榛丘学院中学校"), (4, "無い"), (5, "旧制、榛丘学院中等"), (6, None)], "k bigint, name string")
+    got = {r.key: (r.entity, r.tier) for r in resolve.resolve_names(asked, "k", "name", schools, "id", "name", ["中学校", "中等部"]).collect()}
+    assert got == {1: ("4", 3), 2: ("3", 3), 3: ("3", 3), 5: ("3", 3)}
+
+
 def test_blocks_of_a_page():
     html = "<body><nav><p>menu</p></nav><h2>挨拶</h2><p>一<br>二</p><dl><dt>問</dt><dd>答&amp;え</dd></dl><p>開いたまま<script>x='<p>'</script></body>"
     assert extract.parse_blocks(html) == [(0, "p", "挨拶", "一 二"), (1, "dd", "問", "答&え"), (2, "p", "問", "開いたまま")]
