@@ -60,7 +60,7 @@ def mantel_haenszel(spark, folder):
 @query("kmeans_assign")
 def kmeans_assign(spark, folder):
     e = table(spark, folder, "embeddings")
-    centers, _ = kmeans.fit(e, "embedding", kmeans.initial_centers(e, "vec_id", "embedding", 8), 30)
+    centers, _ = kmeans.fit(e, "embedding", kmeans.initial_centers(e, "vec_id", "embedding", 8))
     return kmeans.assign(e, "vec_id", "embedding", centers)
 
 
@@ -77,7 +77,7 @@ def kmeans_profile(spark, folder):
 
 @query("kmeans_selection")
 def kmeans_selection(spark, folder):
-    rows = kmeans.select_k(table(spark, folder, "embeddings"), "vec_id", "embedding", range(3, 7), iterations=15)
+    rows = kmeans.select_k(table(spark, folder, "embeddings"), "vec_id", "embedding", range(3, 9))
     return spark.createDataFrame([(k, round(w, 6), round(c, 6)) for k, w, c in rows], "k int, wss double, criterion double")
 
 

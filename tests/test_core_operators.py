@@ -243,6 +243,26 @@ def test_kmeans_recovers_clusters(spark):
     assert (kmeans.fit(df, "v", far)[0][1] == [99, 99]).all()  # an empty cluster stays
 
 
+def test_kmeans_queries_try_all_k_until_they_settle(spark, monkeypatch, tmp_path):
+    from loomtable.plans import model_queries
+
+    rng = np.random.default_rng(1)
+    spark.createDataFrame([(i, rng.normal(0, 1, 3).tolist(), i % 4) for i in range(60)], "vec_id bigint, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    allowed, fit = [], kmeans.fit
+
+    def seen(df, vector, centers, iterations=100):
+        allowed.append((len(centers), iterations))
+        return fit(df, vector, centers, iterations)
+
+    monkeypatch.setattr(kmeans, "fit", seen)
+    rows = model_queries.kmeans_selection(spark, str(tmp_path)).collect()
+    assert [r.k for r in rows] == [3, 4, 5, 6, 7, 8] and allowed == [(k, 100) for k in range(3, 9)]
+    for f in (model_queries.kmeans_assign, model_queries.kmeans_profile):
+        allowed.clear()
+        f(spark, str(tmp_path)).collect()
+        assert allowed == [(8, 100)]
+
+
 def test_growth_slopes_are_recovered(spark):
     fits = growth.fit_all(growth.panel(spark))
     value = lambda m, t: next(x["estimate"] for x in fits[m]["terms"] if x["term"] == t)
