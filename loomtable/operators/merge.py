@@ -6,10 +6,11 @@ same table. Keys are compared with nulls equal.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.operators.windows import ColumnOrName, top_per_group
+from loomtable.operators.windows import ColumnOrName, placed, top_per_group
+from loomtable.session import cut_lineage
 
 
 def _anti(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
@@ -62,24 +63,59 @@ def without_note(notes: Column, pattern: str) -> Column:
 
 
 def numbered(df: DataFrame, order: list[str], into: str, after: int = 0) -> DataFrame:
-    """Consecutive numbers in a total order, from after + 1.
+    """Consecutive numbers in a total order, from after + 1 (see windows.placed)."""
+    return placed(df, list(order), into).withColumn(into, F.col(into) + after + 1)
 
-    Places come from a range-partitioned sort and the sizes of its partitions; no task sorts
-    the whole table.
-    """
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    sizes = ordered.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per partition
-    sizes = sizes.select(F.col("_p").alias("_q"), before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return ordered.withColumn("_w", within).join(F.broadcast(sizes), F.col("_p") == F.col("_q")).withColumn(into, F.col("_before") + F.col("_w") + after).drop("_p", "_q", "_w", "_before")
+
+def padded(number: Column, width: int) -> Column:
+    """A number's digits with leading zeros up to a width; longer ones stay whole."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
 
 
 def next_ids(df: DataFrame, existing: DataFrame, id_column: str, order: list[str], prefix: str, width: int) -> DataFrame:
-    """df with ids that go on after the largest numeric suffix in use, zero-padded."""
+    """df with ids that go on after the largest numeric suffix in use, zero-padded to a width at least."""
     largest = existing.select(F.max(F.regexp_extract(id_column, "([0-9]+)$", 1).try_cast("bigint"))).first()[0] or 0
-    out = numbered(df, order, "_id", largest)
-    return out.withColumn(id_column, F.concat(F.lit(prefix), F.lpad(F.col("_id").cast("string"), width, "0"))).drop("_id")
+    return numbered(df, order, "_id", largest).withColumn(id_column, F.concat(F.lit(prefix), padded(F.col("_id"), width))).drop("_id")
+
+
+def find_or_create(asked: DataFrame, stored: DataFrame, key: str, prefix: str, width: int, no_title: str = "(no title)") -> DataFrame:
+    """asked's rows with source_id and is_new (whether the source was created for these rows).
+
+    asked(key, url, title), stored(id, url, title). The result is that of asking row by row
+    in the order of the key: by address; else by title among sources without an address;
+    else a source of the row's address and title is made, and later rows find it. Ids of new
+    sources go on after the largest stored number, in the order in which they are made; of
+    several stored sources that fit, the smallest id is taken. Null and blank addresses are
+    none, null and blank titles are `no_title`.
+
+    Only the first row of each pair of address and title can make a source, so all is decided
+    on distinct pairs and only their outcome is joined to the rows.
+    """
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    title = lambda c: F.coalesce(blank(c), F.lit(no_title))
+    rows = asked.withColumn("_url", blank(F.col("url"))).withColumn("_title", title(F.col("title")))
+    held = stored.select("id", blank(F.col("url")).alias("_u"), title(F.col("title")).alias("_t"))
+    by_url = held.filter("_u IS NOT NULL").groupBy("_u").agg(F.min("id").alias("_by_url"))
+    by_title = held.filter("_u IS NULL").groupBy("_t").agg(F.min("id").alias("_by_title"))
+    pairs = rows.groupBy("_url", "_title").agg(F.min(key).alias("_first"))
+    pairs = pairs.join(by_url, F.col("_url") == F.col("_u"), "left").join(by_title, F.col("_title") == F.col("_t"), "left").drop("_u", "_t")
+    pairs = cut_lineage(pairs)
+    # a title has a source of its own from its first row without an address on
+    titled = pairs.filter("_url IS NULL AND _by_title IS NULL").select(F.col("_title").alias("_t"), F.col("_first").alias("_since"))
+    # an address is made by its first row that finds neither
+    may = pairs.filter("_url IS NOT NULL AND _by_url IS NULL AND _by_title IS NULL").join(titled, F.col("_title") == F.col("_t"), "left")
+    made = may.filter(F.col("_since").isNull() | (F.col("_first") < F.col("_since"))).groupBy(F.col("_url").alias("_u")).agg(F.min("_first").alias("_made"))
+    largest = stored.select(F.max(F.regexp_extract("id", "([0-9]+)$", 1).try_cast("bigint"))).first()[0] or 0
+    fresh = made.select(F.col("_u"), F.lit(None).cast("string").alias("_t"), F.col("_made").alias("_at")).unionByName(titled.select(F.lit(None).cast("string").alias("_u"), "_t", F.col("_since").alias("_at")))
+    ids = cut_lineage(numbered(fresh, ["_at"], "_number", largest).withColumn("_id", F.concat(F.lit(prefix), padded(F.col("_number"), width))))
+    of_url = ids.filter("_u IS NOT NULL").select("_u", F.col("_at").alias("_made"), F.col("_id").alias("_new_url"))
+    of_title = ids.filter("_u IS NULL").select("_t", F.col("_id").alias("_new_title"))
+    outcome = pairs.drop("_first").join(of_url, F.col("_url") == F.col("_u"), "left").join(of_title, F.col("_title") == F.col("_t"), "left").drop("_u", "_t").withColumnsRenamed({"_url": "_pu", "_title": "_pt"})
+    joined = rows.join(outcome, F.col("_url").eqNullSafe(F.col("_pu")) & (F.col("_title") == F.col("_pt")))
+    own = F.col("_by_url").isNull() & F.col("_made").isNotNull() & (F.col("_made") <= F.col(key))
+    source = F.when(F.col("_by_url").isNotNull(), F.col("_by_url")).when(own, F.col("_new_url")).otherwise(F.coalesce("_by_title", "_new_title"))
+    return joined.select(*asked.columns, source.alias("source_id"), (F.col("_by_url").isNull() & (own | F.col("_by_title").isNull())).alias("is_new"))
 
 
 def fanned_out(df: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:

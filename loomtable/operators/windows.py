@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtable.session import cut_lineage
+
 ColumnOrName = Column | str
 
 
@@ -49,17 +51,78 @@ def section_spans(starts: DataFrame, group: str, at: str, end: str) -> DataFrame
     return starts.withColumn("until", F.coalesce(following, F.col(end)))
 
 
+def placed(df: DataFrame, order: list[ColumnOrName], into: str) -> DataFrame:
+    """df with the place of each row in the order, from 0: consecutive, each once.
+
+    `order` must be total. A range-partitioned sort gives each row its partition and its
+    place within it; both are written with the row, once, to the checkpoint folder. Rows and
+    the sizes of the partitions are read from that one copy, so that they agree whatever
+    AQE coalesces and however the range bounds were sampled. No task sorts the whole table.
+    What is broadcast has a row per partition.
+    """
+    pinned = cut_lineage(df.repartitionByRange(*_order(order)).sortWithinPartitions(*_order(order)).withColumn("__placed_at", F.monotonically_increasing_id()))
+    part, within = F.shiftrightunsigned("__placed_at", 33), F.col("__placed_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = pinned.groupBy(part.alias("__placed_part")).agg(F.count("*").alias("__placed_n"))
+    before = Window.orderBy("__placed_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    sizes = sizes.select(F.col("__placed_part"), F.coalesce(F.sum("__placed_n").over(before), F.lit(0)).alias("__placed_before"))
+    out = pinned.withColumn("__placed_part", part).join(F.broadcast(sizes), "__placed_part").withColumn(into, F.col("__placed_before") + within)
+    return out.drop("__placed_at", "__placed_part", "__placed_before")
+
+
 def even_ranges(df: DataFrame, order: str, n: int, into: str = "bucket") -> DataFrame:
     """n contiguous ranges of almost equal size over the whole order, larger ones first.
 
-    Sizes follow from the count, positions from a range-partitioned sort: each partition adds
-    its place to the rows before it, so no task holds more than its own range.
+    Sizes follow from the count, positions from `placed`; `order` must be total.
     """
-    ordered = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    sizes = ordered.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(1))))
-    place = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
-    small, extra = F.floor(F.col("_all") / n), F.col("_all") % n
+    rows = placed(df, [order], "__place")
+    place = F.col("__place")
+    whole = rows.agg(F.count("*").alias("__place_all"))  # one row
+    small, extra = F.floor(F.col("__place_all") / n), F.col("__place_all") % n
     bucket = F.when(place < extra * (small + 1), F.floor(place / (small + 1))).otherwise(extra + F.floor((place - extra * (small + 1)) / F.greatest(small, F.lit(1)))) + 1
-    return ordered.join(F.broadcast(sizes), "_part").withColumn(into, bucket.cast("int")).drop("_part", "_n", "_before", "_all")
+    return rows.crossJoin(F.broadcast(whole)).withColumn(into, bucket.cast("int")).drop("__place", "__place_all")
+
+
+def order_statistics(df: DataFrame, columns: list[str], shares: list[float], group: list[str] = ()) -> DataFrame:
+    """(group, one column `<column>_<k>` per column and share): exact interpolated percentiles, without a task that holds a group.
+
+    Each column's distinct values are counted before the shuffle. A range-partitioned sort
+    places them, running counts come from the counts per partition and group, and only the
+    values on which a share falls are kept: two per group, column and share. Nulls are no
+    values; a group without values has nulls.
+    """
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    names = [f"_g{i}" for i in range(len(group))]
+    stacked = F.explode(F.array(*(F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns)))
+    counted = df.select(*keys, stacked.alias("x")).select(*names, "x._c", "x._v").filter("_v IS NOT NULL").groupBy(*names, "_c", "_v").agg(F.count("*").alias("_k"))
+    ordered = cut_lineage(counted.repartitionByRange("_c", *names, "_v").sortWithinPartitions("_c", *names, "_v").withColumn("_part", F.spark_partition_id()))
+    cells = [*names, "_c"]
+    sums = ordered.groupBy(*cells, "_part").agg(F.sum("_k").alias("_s"))  # a row per cell, and one more per partition
+    earlier = Window.partitionBy(*cells).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_s").over(earlier), F.lit(0))).withColumn("_n", F.sum("_s").over(Window.partitionBy(*cells)))
+    sums = sums.select(*(F.col(c).alias(f"s{c}") for c in [*cells, "_part"]), "_before", "_n")
+    same = [F.col(c).eqNullSafe(F.col(f"s{c}")) for c in [*cells, "_part"]]
+    upto = Window.partitionBy(*cells, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one partition's values
+    run = ordered.join(sums, same).withColumn("_last", F.col("_before") + F.sum("_k").over(upto))
+    first = F.col("_last") - F.col("_k")
+    at = [F.lit(float(s)) * (F.col("_n") - 1) for s in shares]
+    holds = lambda place: (first <= place) & (place < F.col("_last"))
+    picked = run.filter(F.expr("false") if not shares else _any([holds(F.floor(a)) | holds(F.ceil(a)) for a in at]))
+    parts = []
+    for c in columns:
+        for k, a in enumerate(at):
+            low, high = (F.max(F.when((F.col("_c") == c) & holds(f(a)), F.col("_v"))) for f in (F.floor, F.ceil))
+            rest = F.max(F.when(F.col("_c") == c, a - F.floor(a)))
+            parts.append((low + (high - low) * rest).alias(f"{c}_{k}"))
+    found = picked.groupBy(*names).agg(*parts)
+    if not group:
+        return found
+    every = df.select(*keys).distinct().select(*(F.col(n).alias(f"e{n}") for n in names))
+    joined = every.join(found, [F.col(f"e{n}").eqNullSafe(F.col(n)) for n in names], "left")
+    return joined.select(*(F.col(f"e{n}").alias(g) for n, g in zip(names, group)), *(f"{c}_{k}" for c in columns for k in range(len(shares))))
+
+
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out

@@ -54,16 +54,35 @@ def dedup_person_school(spark, folder):
     return table(spark, folder, "team_c1_gf").groupBy("gf_person_id", "matched_school_name").agg(F.min("record_id").alias("record_id"), F.count("*").alias("n_claims"))
 
 
+_STORED = (
+    "SELECT 'src_' || lpad(CAST(row_number() OVER (ORDER BY url, title) AS VARCHAR), 6, '0') AS id, url, title FROM "
+    "(SELECT DISTINCT source_url AS url, coalesce(school_id, '') || ' voices' AS title FROM team_b2_students WHERE source_url IS NOT NULL UNION SELECT NULL, id || ' mission' FROM schools_v2 WHERE homepage_url IS NULL)"
+)
+_ASKED = "SELECT id AS record_id, source_url AS url, coalesce(school_id, '') || ' ' || philosophy_type AS title FROM school_philosophy_v2"
+
+
 @query(
     "source_find_or_create",
-    "SELECT url, dense_rank() OVER (ORDER BY url) + 1000 AS source_id, n FROM (SELECT source_url AS url, count(*) AS n FROM school_philosophy_v2 WHERE source_url IS NOT NULL GROUP BY 1)",
+    f"WITH stored AS ({_STORED}), asked AS ({_ASKED}), bu AS (SELECT url AS u, min(id) AS i FROM stored WHERE url IS NOT NULL GROUP BY 1), bt AS (SELECT title AS t, min(id) AS i FROM stored WHERE url IS NULL GROUP BY 1), "
+    "a AS (SELECT record_id, url, title, bu.i AS by_url, bt.i AS by_title FROM asked LEFT JOIN bu ON url = u LEFT JOIN bt ON title = t), "
+    "titled AS (SELECT title AS t, min(record_id) AS since FROM a WHERE url IS NULL AND by_title IS NULL GROUP BY 1), "
+    "made AS (SELECT url AS u, min(record_id) AS m FROM a LEFT JOIN titled ON title = t WHERE url IS NOT NULL AND by_url IS NULL AND by_title IS NULL AND (since IS NULL OR record_id < since) GROUP BY 1), "
+    "fresh AS (SELECT u, NULL AS t, m AS born FROM made UNION ALL SELECT NULL, t, since FROM titled), "
+    "ids AS (SELECT u, t, born, 'src_' || lpad(CAST(row_number() OVER (ORDER BY born) + (SELECT count(*) FROM stored) AS VARCHAR), 6, '0') AS id FROM fresh) "
+    "SELECT record_id, CASE WHEN by_url IS NOT NULL THEN by_url WHEN n.born <= record_id THEN n.id WHEN by_title IS NOT NULL THEN by_title ELSE k.id END AS source_id, by_url IS NULL AND (coalesce(n.born <= record_id, FALSE) OR by_title IS NULL) AS is_new "
+    "FROM a LEFT JOIN ids n ON n.u = url LEFT JOIN ids k ON k.t = title",
 )
 def source_find_or_create(spark, folder):
-    """Each distinct address gets the next number after the largest stored one, in order."""
-    from loomtable.operators.merge import numbered
-
-    urls = table(spark, folder, "school_philosophy_v2").filter("source_url IS NOT NULL").groupBy(F.col("source_url").alias("url")).agg(F.count("*").alias("n"))
-    return numbered(urls, ["url"], "source_id", 1000)
+    """The source of each philosophy text: found by address, else by title without address, else made."""
+    from loomtable.operators.merge import find_or_create, numbered, padded
+
+    voices, schools = table(spark, folder, "team_b2_students"), table(spark, folder, "schools_v2")
+    kept = voices.filter("source_url IS NOT NULL").select(F.col("source_url").alias("url"), F.concat(F.coalesce("school_id", F.lit("")), F.lit(" voices")).alias("title"))
+    kept = kept.union(schools.filter("homepage_url IS NULL").select(F.lit(None).cast("string"), F.concat("id", F.lit(" mission")))).distinct()
+    order = [F.col("url").asc_nulls_last(), "title"]
+    stored = numbered(kept, order, "n").select(F.concat(F.lit("src_"), padded(F.col("n"), 6)).alias("id"), "url", "title")
+    asked = table(spark, folder, "school_philosophy_v2").select(F.col("id").alias("record_id"), F.col("source_url").alias("url"), F.concat(F.coalesce("school_id", F.lit("")), F.lit(" "), "philosophy_type").alias("title"))
+    return find_or_create(asked, stored, "record_id", "src_", 6).select("record_id", "source_id", "is_new")
 
 
 @query("dedup_contained_heads")

@@ -89,7 +89,10 @@ def strip_notes(spark, folder):
     return table(spark, folder, "schools_v2").select("row_id", M.without_note(notes, "^確認").alias("left_notes"))
 
 
-@query("next_ids", "SELECT doc_id, 'jpms_s_' || lpad(CAST(row_number() OVER (ORDER BY doc_id) + (SELECT max(CAST(regexp_extract(id, '([0-9]+)$', 1) AS BIGINT)) FROM schools_v2) AS VARCHAR), 6, '0') AS id FROM documents")
+@query(
+    "next_ids",
+    "SELECT doc_id, 'jpms_s_' || CASE WHEN length(n) >= 6 THEN n ELSE lpad(n, 6, '0') END AS id FROM (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) + (SELECT max(CAST(regexp_extract(id, '([0-9]+)$', 1) AS BIGINT)) FROM schools_v2) AS VARCHAR) AS n FROM documents)",
+)
 def next_ids(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id")
     return M.next_ids(docs, table(spark, folder, "schools_v2"), "id", ["doc_id"], "jpms_s_", 6).select("doc_id", "id")

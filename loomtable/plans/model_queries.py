@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtable.models import growth, irt, kmeans, mixed, sem
+from loomtable.operators.windows import order_statistics
 from loomtable.plans.base import Plans
 from loomtable.sources.tables import table
 
@@ -18,8 +19,8 @@ def answers(spark, folder):
     """(user_id, one 0/1 column per kind of event): whether a user's mean is above that of all; users lacking a kind are left out."""
     e = table(spark, folder, "events")
     wide = e.groupBy("user_id").pivot("event_type", _ITEMS).agg(F.avg("value")).na.drop()
-    cut = wide.agg(*(F.median(c).alias(f"m_{c}") for c in _ITEMS))  # one row
-    return wide.crossJoin(F.broadcast(cut)).select("user_id", *((F.col(c) > F.col(f"m_{c}")).cast("int").alias(c) for c in _ITEMS))
+    cut = order_statistics(wide, _ITEMS, [0.5])  # one row
+    return wide.crossJoin(F.broadcast(cut)).select("user_id", *((F.col(c) > F.col(f"{c}_0")).cast("int").alias(c) for c in _ITEMS))
 
 
 _WIDE = "wide AS (SELECT user_id, " + ", ".join(f"avg(value) FILTER (WHERE event_type = '{c}') AS \"{c}\"" for c in _ITEMS) + " FROM events GROUP BY 1), full_ AS (SELECT * FROM wide WHERE " + " AND ".join(f'"{c}" IS NOT NULL' for c in _ITEMS) + ")"

@@ -181,16 +181,18 @@ def pivot_count(spark, folder):
 @query("numeric_profile", "SELECT event_type, min(value) AS low, round(avg(value), 8) AS mean, max(value) AS high, round(median(value), 8) AS middle, round(quantile_cont(value, 0.9), 8) AS p90 FROM events GROUP BY 1")
 def numeric_profile(spark, folder):
     (e,) = _t(spark, folder, "events")
-    return e.groupBy("event_type").agg(
-        F.min("value").alias("low"), F.round(F.avg("value"), 8).alias("mean"), F.max("value").alias("high"), F.round(F.median("value"), 8).alias("middle"), F.round(F.percentile("value", 0.9), 8).alias("p90")
-    )
+    plain = e.groupBy("event_type").agg(F.min("value").alias("low"), F.round(F.avg("value"), 8).alias("mean"), F.max("value").alias("high"))
+    places = W.order_statistics(e, ["value"], [0.5, 0.9], ["event_type"]).withColumnRenamed("event_type", "_type")
+    both = plain.join(places, F.col("event_type").eqNullSafe(F.col("_type")))
+    return both.select("event_type", "low", "mean", "high", F.round("value_0", 8).alias("middle"), F.round("value_1", 8).alias("p90"))
 
 
 @query("counts_of_counts", "SELECT round(avg(n), 8) AS mean, median(n) AS middle, max(n) AS most FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)")
 def counts_of_counts(spark, folder):
     (e,) = _t(spark, folder, "events")
     n = e.groupBy("user_id").agg(F.count("*").alias("n"))
-    return n.agg(F.round(F.avg("n"), 8).alias("mean"), F.median("n").alias("middle"), F.max("n").alias("most"))
+    plain = n.agg(F.round(F.avg("n"), 8).alias("mean"), F.max("n").alias("most"))
+    return plain.crossJoin(F.broadcast(W.order_statistics(n, ["n"], [0.5]))).select("mean", F.col("n_0").alias("middle"), "most")  # one row each
 
 
 @query("histogram", "SELECT CAST(floor(value / 10) AS BIGINT) AS bin, count(*) AS n FROM events GROUP BY 1")
@@ -360,8 +362,8 @@ _EDGES = ", ".join(f"quantile_cont(m, {q}) AS q{k}" for k, q in enumerate((0.2,
 def quantile_bins(spark, folder):
     (e,) = _t(spark, folder, "events")
     means = e.groupBy("user_id").agg(F.avg("value").alias("m"))
-    edges = means.agg(*(F.percentile("m", q).alias(f"q{k}") for k, q in enumerate((0.2, 0.4, 0.6, 0.8))))  # one row
-    bin_ = F.lit(1) + sum(((F.col("m") > F.col(f"q{k}")).cast("int") for k in range(4)), F.lit(0))
+    edges = W.order_statistics(means, ["m"], [0.2, 0.4, 0.6, 0.8])  # one row
+    bin_ = F.lit(1) + sum(((F.col("m") > F.col(f"m_{k}")).cast("int") for k in range(4)), F.lit(0))
     return means.crossJoin(F.broadcast(edges)).select("user_id", bin_.alias("bin"))
 
 

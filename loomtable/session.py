@@ -36,12 +36,16 @@ def shuffle_width(spark: SparkSession) -> int:
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """checkpoint() into the shared folder named by spark.checkpoint.dir.
 
-    Only a session that names no folder (a test) gets a temporary one. The copy on
-    shared storage outlives any executor, so a lost one costs a re-read, not a re-run.
+    The copy on shared storage outlives any executor, so a lost one costs a re-read, not a
+    re-run. A session that names no folder gets a temporary one only if it runs in this very
+    process (master local[...], as in tests); on a cluster each node would have its own, so
+    that raises.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomtable-checkpoint-"))
     return df.checkpoint(eager)
 

@@ -76,6 +76,60 @@ def test_numbers_are_consecutive(spark):
     assert sorted((r.k, r.n) for r in rows) == [(k, k + 11) for k in range(500)]
 
 
+def test_places_in_wide_frames_that_are_written_and_read(spark, tmp_path):
+    n = 400_000
+    wide = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 10).alias("body"))
+    merge.numbered(wide, ["k"], "n").write.parquet(str(tmp_path / "numbered"))
+    got = spark.read.parquet(str(tmp_path / "numbered")).agg(F.count("*").alias("rows"), F.count_distinct("n").alias("ids"), F.max("n").alias("top"), F.count_if(F.col("n") != F.col("k") + 1).alias("wrong")).first()
+    assert tuple(got) == (n, n, n, 0)
+    windows.even_ranges(wide, "k", 7).write.parquet(str(tmp_path / "ranges"))
+    sizes = spark.read.parquet(str(tmp_path / "ranges")).groupBy("bucket").agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).orderBy("bucket").collect()
+    assert [r.n for r in sizes] == [n // 7 + (i < n % 7) for i in range(7)]
+    assert all(a.high + 1 == b.low for a, b in zip(sizes, sizes[1:]))
+
+
+def test_ids_past_the_width_stay_whole(spark):
+    old = spark.createDataFrame([("x_999998",)], "id string")
+    got = merge.next_ids(spark.range(4).withColumnRenamed("id", "k"), old, "id", ["k"], "x_", 6).orderBy("k").collect()
+    assert [r.id for r in got] == ["x_999999", "x_1000000", "x_1000001", "x_1000002"]
+    assert merge.next_ids(spark.range(0).withColumnRenamed("id", "k"), old, "id", ["k"], "x_", 6).count() == 0
+
+
+def test_order_statistics(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([None, 1.0, 2.5, rng.random()]), float(rng.randint(0, 5))) for _ in range(500)] + [("empty", None, None), ("one", 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    for by, groups in (([], [None]), (["g"], ["a", "b", None, "empty", "one"])):
+        got = windows.order_statistics(df, ["x", "y"], [0.0, 0.5, 0.9, 1.0], by).collect()
+        assert len(got) == len(groups)
+        for r in got:
+            for at, c in ((1, "x"), (2, "y")):
+                values = [v[at] for v in rows if v[at] is not None and (not by or v[0] == r.g)]
+                for k, share in enumerate((0.0, 0.5, 0.9, 1.0)):
+                    assert r[f"{c}_{k}"] == (pytest.approx(np.quantile(values, share)) if values else None)
+
+
+def test_find_or_create_is_that_of_asking_row_by_row(spark):
+    rng = random.Random(6)
+    for _ in range(3):
+        some = lambda letters: rng.choice([*letters, None, " "])
+        stored = [(f"s_{i:03}", some("uvw"), some("abc")) for i in range(1, 5)]
+        asked = [(i, some("uvwxyz"), some("abcdef")) for i in range(60)]
+        held = [(i, (u or "").strip() or None, (t or "").strip() or "(no title)") for i, u, t in stored]
+        want, made = {}, set()
+        for k, u, t in asked:
+            u, t = (u or "").strip() or None, (t or "").strip() or "(no title)"
+            hit = min((i for i, v, _ in held if u and v == u), default=None) or min((i for i, v, s in held if v is None and s == t), default=None)
+            if hit is None:
+                hit = f"s_{len(held) + 1:03}"
+                held.append((hit, u, t))
+                made.add(hit)
+            want[k] = (hit, hit in made)
+        s = spark.createDataFrame(stored, "id string, url string, title string")
+        a = spark.createDataFrame(asked, "k bigint, url string, title string")
+        assert {r.k: (r.source_id, r.is_new) for r in merge.find_or_create(a, s, "k", "s_", 3).collect()} == want
+
+
 def test_merges(spark):
     old = spark.createDataFrame([(1, "a"), (2, None), (None, "z")], "k int, v string")
     new = spark.createDataFrame([(2, "b"), (None, "n"), (3, "c"), (3, "d")], "k int, v string")
