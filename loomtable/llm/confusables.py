@@ -1,9 +1,10 @@
 """One consistent form of text that looks the same, by table lookup on code-point arrays.
 
-A batch of texts becomes one numpy array of code points. Each point is replaced by its row
-of a lookup table: nothing, one point or several, gathered through expansion offsets. Marks
-are put in canonical order and composed with their bases by array operations over the whole
-batch. No string method runs per row.
+The Arrow buffers of a batch become one numpy array of code points. Each point is replaced
+by its row of a lookup table: nothing, one point or several, gathered through expansion
+offsets. Marks are put in canonical order and composed with their bases by array operations
+over the whole batch, and the result goes back into Arrow buffers. No string method runs per
+row, and none is made of a row.
 
 The table is made by rule from the Unicode data of the standard library:
  - width forms, canonical and presentation variants are decomposed; characters that are
@@ -31,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtable.session import cut_lineage
+
 #: Characters drawn like the one before the colon.
 ALIKE = """
 A:ΑА B:ΒВ C:СϹ D: E:ΕЕ F:Ϝ G:Ԍ H:ΗН I:ΙІӀ J:ЈͿ K:ΚК M:ΜМ N:Ν O:ΟО P:ΡР Q:Ԛ S:Ѕ T:ΤТ V:Ѵ W:Ԝ X:ΧХ Y:ΥҮ Z:Ζ
@@ -96,7 +99,9 @@ def tables() -> dict[str, np.ndarray]:
             extra += [ord(x) for x in to] if len(to) > 1 else []
     keys = np.array([a << 21 | b for a, b in compose], np.int64)
     order = np.argsort(keys)
+    changed = (count != 1) | (start != np.arange(_TOP))
     return {
+        "changed": changed,
         "start": start,
         "count": count,
         "pool": np.r_[np.arange(_TOP, dtype=np.int32), np.array(extra, np.int32)],
@@ -112,6 +117,13 @@ def _gathered(points: np.ndarray, row: np.ndarray, t: dict[str, np.ndarray]) ->
     if cr.any():  # of CR LF, the CR goes
         drop = cr & np.r_[(points[1:] == 10) & (row[1:] == row[:-1]), False]
         points, row = points[~drop], row[~drop]
+    at = np.flatnonzero(t["changed"][points])
+    if not at.size:
+        return points, row
+    if (t["count"][points[at]] == 1).all():
+        points = points.copy()
+        points[at] = t["pool"][t["start"][points[at]]]
+        return points, row
     n = t["count"][points].astype(np.int64)
     ends = np.cumsum(n)
     inner = np.arange(ends[-1] if n.size else 0) - np.repeat(ends - n, n)
@@ -119,14 +131,16 @@ def _gathered(points: np.ndarray, row: np.ndarray, t: dict[str, np.ndarray]) ->
 
 
 def _ordered(points: np.ndarray, row: np.ndarray, t: dict[str, np.ndarray]) -> np.ndarray:
-    """Runs of marks in canonical order."""
-    while True:
-        cc = t["marks"][points]
-        wrong = np.flatnonzero((cc[:-1] > cc[1:]) & (cc[1:] > 0) & (row[:-1] == row[1:]))
-        if not wrong.size:
-            return points
-        wrong = wrong[np.r_[True, np.diff(wrong) > 1]]
-        points[wrong], points[wrong + 1] = points[wrong + 1], points[wrong].copy()
+    """Runs of marks in canonical order: one stable sort over all marks, by run and class."""
+    cc = t["marks"][points]
+    if not ((cc[:-1] > cc[1:]) & (cc[1:] > 0) & (row[:-1] == row[1:])).any():
+        return points
+    run = np.cumsum((cc == 0) | np.r_[True, row[1:] != row[:-1]])
+    marks = np.flatnonzero(cc)
+    order = np.argsort(run[marks] * 256 + cc[marks], kind="stable")
+    points = points.copy()
+    points[marks] = points[marks[order]]
+    return points
 
 
 def _composed(points: np.ndarray, row: np.ndarray, t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,22 +191,66 @@ def _readable(points: np.ndarray, row: np.ndarray) -> np.ndarray:
     return np.where(open_ & ~as_kana, to[points], points)
 
 
-def skeletons(texts: list[str], readable: bool = False) -> list[str]:
-    """The comparison forms of texts (see the module); with readable, the consistent forms."""
+def _formed(points: np.ndarray, row: np.ndarray, readable: bool = False) -> tuple[np.ndarray, np.ndarray]:
     t = tables()
-    joined = "".join(texts)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    row = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
     points, row = _gathered(points, row, t)
     points = _ordered(points, row, t)
     points, row = _composed(points, row, t)
-    if readable and points.size:
-        points = _readable(points, row)
+    return (_readable(points, row) if readable and points.size else points), row
+
+
+def points_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all texts, the row of each) from the buffers of a string array; a null has none."""
+    column = column.cast(pa.string())
+    column = column.fill_null("") if column.null_count else column
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(column) + 1, column.offset * 4) if len(column) else np.zeros(1, np.int32)
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    points = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.int32)
+    before = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]  # a code point begins at each byte that continues none
+    return points, np.repeat(np.arange(len(column)), np.diff(before[ends - ends[0]]))
+
+
+def array_of(points: np.ndarray, row: np.ndarray, like: pa.Array) -> pa.Array:
+    """A string array of as many rows as `like`, null where it is."""
+    size = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    offsets = np.r_[0, np.cumsum(np.bincount(row, size, len(like)))].astype(np.int32)
+    data = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    valid = pa.array(like.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)).cast(pa.bool_()).buffers()[1] if like.null_count else None
+    return pa.StringArray.from_buffers(len(like), pa.py_buffer(offsets), pa.py_buffer(data), valid)
+
+
+def skeletons(texts: list[str], readable: bool = False) -> list[str]:
+    """The comparison forms of texts (see the module); with readable, the consistent forms."""
+    joined = "".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.int32)
+    row = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+    points, row = _formed(points, row, readable)
     out = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     ends = np.cumsum(np.bincount(row, minlength=len(texts)))
     return [out[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
 
 
+def _mixed_bits(x: np.ndarray) -> np.ndarray:
+    """The finaliser of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def hashes(points: np.ndarray, row: np.ndarray, n: int) -> pa.Array:
+    """128 bits of each text: sums, over its places, of two pseudo-random functions of place and code point."""
+    sizes = np.bincount(row, minlength=n)
+    ends = np.cumsum(sizes)
+    place = (np.arange(points.size) - np.repeat(ends - sizes, sizes)).astype(np.uint64)
+    key = (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + points.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    halves = []
+    for seed in (0x2545F4914F6CDD1D, 0xC2B2AE3D27D4EB4F):
+        total = np.r_[np.uint64(0), np.cumsum(_mixed_bits(key ^ np.uint64(seed)), dtype=np.uint64)]
+        halves.append(_mixed_bits(total[ends] - total[ends - sizes] + sizes.astype(np.uint64)))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(np.stack(halves, 1).tobytes())]).cast(pa.binary())
+
+
 def with_forms(df: DataFrame, text: str, skeleton: str = "skeleton", form: str = "consistent_form") -> DataFrame:
     """df with the comparison form and the readable form of `text`; columns of those names are replaced."""
     base = df.drop(*({skeleton, form} - {text}))
@@ -201,28 +259,71 @@ def with_forms(df: DataFrame, text: str, skeleton: str = "skeleton", form: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column(at).to_pylist()
-            some = [x or "" for x in given]
-            made = [pa.array([None if g is None else m for g, m in zip(given, forms)], pa.string()) for forms in (skeletons(some), skeletons(some, True))]
+            given = batch.column(at)
+            points, row = _formed(*points_of(given))
+            made = [array_of(p, row, given) for p in (points, _readable(points, row) if points.size else points)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
 
     return base.mapInArrow(run, schema)
 
 
-def alike_pairs(df: DataFrame, table_name: str, key: str, text: str) -> DataFrame:
-    """(table_name, key_lo, key_hi): pairs of rows whose texts look the same but are not the same string.
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        points, row = points_of(batch.column(2))
+        made = [hashes(*_formed(points, row), batch.num_rows), hashes(points, row, batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["table_name", "key", "looks", "string"])
+
+
+SALTS = 64  # parts into which the rows of a string are spread before they meet their partners
+BLOCK = 4096  # rows of a string that stand in one block of pairs
+
+
+def text_hashes(rows: DataFrame) -> DataFrame:
+    """(table_name, key, looks, string) of rows(table_name, key, text) that are not null: hashes of skeleton and text, pinned once."""
+    some = rows.select("table_name", F.col("key").cast("bigint").alias("key"), "text").filter(F.col("text").isNotNull())
+    return cut_lineage(some.mapInArrow(_hashed, "table_name string, key bigint, looks binary, string binary"))
+
+
+def _strings(hashed: DataFrame) -> DataFrame:
+    """(table_name, looks, string, n, least) of the strings of which others look the same."""
+    counts = hashed.groupBy("table_name", "looks", "string").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+    mixed = counts.groupBy("table_name", "looks").agg(F.count("*").alias("n_strings")).filter("n_strings > 1")
+    return counts.join(mixed.select("table_name", "looks"), ["table_name", "looks"], "left_semi")
+
+
+def alike_classes(rows: DataFrame) -> DataFrame:
+    """(table_name, key, class_key, n_links) of every row of rows(table_name, key, text) whose text is not null.
+
+    class_key is the least key of the rows that look the same; n_links counts those of them
+    that are another string. Classes and strings are counted before they meet rows.
+    """
+    hashed = text_hashes(rows)
+    counts = hashed.groupBy("table_name", "looks", "string").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+    classes = counts.groupBy("table_name", "looks").agg(F.sum("n").alias("n_all"), F.min("least").alias("class_key"))
+    linked = counts.join(classes, ["table_name", "looks"]).select("table_name", "string", "class_key", (F.col("n_all") - F.col("n")).alias("n_links"))
+    return hashed.join(linked, ["table_name", "string"]).select("table_name", "key", "class_key", "n_links")
+
+
+def alike_pairs(rows: DataFrame) -> DataFrame:
+    """(table_name, key_lo, key_hi): pairs of rows(table_name, key, text) whose texts look the same but are not the same string.
 
-    Rows meet by a 128-bit hash of their skeleton, and only in groups that hold more than
-    one string, so that copies of a common string, however many, are never paired with
-    each other. Null texts are in no pair.
+    Texts meet as distinct strings, by a 128-bit hash of their skeleton; pairs of strings are
+    then expanded to rows. Copies of a string, however many, never meet each other: what is
+    joined is as large as the result. The rows of a string are spread over SALTS parts when
+    they meet their pairs, and over blocks of BLOCK rows when they meet those of the other
+    string, so that no task holds all rows of a common string. Null texts are in no pair.
     """
-    rows = with_forms(df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).filter(F.col("text").isNotNull()), "text")
-    rows = rows.select("key", F.md5("skeleton").alias("looks"), F.md5("text").alias("string"))
-    mixed = rows.groupBy("looks").agg(F.min("string").alias("a"), F.max("string").alias("b")).filter("a <> b").select("looks")
-    rows = rows.join(mixed, "looks", "left_semi")
-    other = rows.select(F.col("looks"), F.col("key").alias("key_hi"), F.col("string").alias("other"))
-    return (
-        rows.join(other, "looks")
-        .filter((F.col("key") < F.col("key_hi")) & (F.col("string") != F.col("other")))
-        .select(F.lit(table_name).alias("table_name"), F.col("key").alias("key_lo"), "key_hi")
-    )
+    hashed = text_hashes(rows)
+    strings = cut_lineage(_strings(hashed))
+    of = ["table_name", "looks"]
+    other = strings.select(*of, F.col("string").alias("b"), F.col("n").alias("n_b"))
+    pairs = strings.select(*of, F.col("string").alias("a"), F.col("n").alias("n_a")).join(other, of).filter("a < b")
+    salted = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = hashed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    own = lambda n: F.pmod(F.xxhash64(F.lit(1), "key"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    at = [*of, "a", "b", "i", "j"]
+    low = spread.withColumnRenamed("string", "a").join(salted, [*of, "a", "salt"]).withColumn("i", own("n_a")).withColumn("j", every("n_b")).select(*at, F.col("key").alias("key_a"))
+    high = spread.withColumnRenamed("string", "b").join(salted, [*of, "b", "salt"]).withColumn("j", own("n_b")).withColumn("i", every("n_a")).select(*at, F.col("key").alias("key_b"))
+    return low.join(high, at).select("table_name", F.least("key_a", "key_b").alias("key_lo"), F.greatest("key_a", "key_b").alias("key_hi"))

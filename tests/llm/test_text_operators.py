@@ -1,8 +1,11 @@
 """Residue, cut texts, wrong decoding and consistent forms on small hand-made cases."""
 
+import time
 import unicodedata
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loomtable.llm import confusables, mojibake, residue, truncation
 
@@ -194,12 +197,42 @@ def test_forms_do_not_depend_on_the_batch_and_are_stable():
         assert all(unicodedata.normalize("NFC", t) == t for t in together)
 
 
-def test_pairs_against_brute_force(spark):
-    texts = [t for pair in SAME for t in pair] * 2 + [None, "", "", " "] + [t for pair in DIFFERENT for t in pair]
+def named(df, table_name, key, text):
+    return df.select(F.lit(table_name).alias("table_name"), F.col(key).alias("key"), F.col(text).alias("text"))
+
+
+def test_pairs_and_classes_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(confusables, "BLOCK", 2)
+    texts = [t for pair in SAME for t in pair] * 2 + [None, "", "", " "] + [t for pair in DIFFERENT for t in pair] + ["ＡＢＣ 12"] * 7
     rows = list(enumerate(texts))
-    df = spark.createDataFrame([(k, t, "x") for k, t in rows], "id bigint, text string, key string")
-    got = sorted((r.key_lo, r.key_hi) for r in confusables.alike_pairs(df, "t", "id", "text").collect())
+    df = named(spark.createDataFrame([(k, t, "x") for k, t in rows], "id bigint, text string, looks string"), "t", "id", "text")
+    got = sorted((r.key_lo, r.key_hi) for r in confusables.alike_pairs(df).collect())
     skeleton = dict(zip((k for k, _ in rows), confusables.skeletons([t or "" for t in texts])))
     want = sorted((i, j) for i, a in rows for j, b in rows if i < j and a is not None and b is not None and a != b and skeleton[i] == skeleton[j])
     assert got == want
-    assert confusables.alike_pairs(df.limit(0), "t", "id", "text").count() == 0
+    classes = {r.key: (r.class_key, r.n_links) for r in confusables.alike_classes(df).collect()}
+    alike = lambda i: [(j, b) for j, b in rows if b is not None and skeleton[j] == skeleton[i]]
+    assert classes == {i: (min(j for j, _ in alike(i)), sum(b != a for _, b in alike(i))) for i, a in rows if a is not None}
+    assert confusables.alike_pairs(df.limit(0)).count() == 0 and confusables.alike_classes(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_common_string_are_never_paired(spark):
+    rows = spark.range(100_001).select(F.lit("t").alias("table_name"), F.col("id").alias("key"), F.when(F.col("id") == 100_000, "学 校").otherwise("学\u3000校").alias("text"))
+    began = time.time()
+    assert confusables.alike_pairs(rows).count() == 100_000
+    assert time.time() - began < 60
+
+
+def test_arrays_of_code_points_and_long_runs_of_marks():
+    texts = ["a", None, "", "が\u0323\u0301😀é", "x" * 5000]
+    column = pa.array(texts, pa.string())
+    for given in (column, column.slice(1, 3), column.slice(5)):
+        points, row = confusables.points_of(given)
+        assert confusables.array_of(points, row, given).to_pylist() == given.to_pylist()
+    marks = "".join(chr(0x300 + (i * 37) % 50) for i in range(20_000))
+    (form,) = confusables.skeletons(["a" + marks])
+    classes = [unicodedata.combining(c) for c in form[1:]]
+    assert sorted(classes) == classes
+    points, row = confusables.points_of(pa.array(["ab", "ba", "", "ab", "a"]))
+    h = confusables.hashes(points, row, 5).to_pylist()
+    assert h[0] == h[3] and len(set(h)) == 4
