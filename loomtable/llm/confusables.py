@@ -275,6 +275,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 SALTS = 64  # parts into which the rows of a string are spread before they meet their partners
+BROADCAST_PAIRS = 100_000  # counted pairs of strings, of some 80 bytes, up to which they are broadcast to the rows
 BLOCK = 4096  # rows of a string that stand in one block of pairs
 
 
@@ -309,21 +310,25 @@ def alike_pairs(rows: DataFrame) -> DataFrame:
 
     Texts meet as distinct strings, by a 128-bit hash of their skeleton; pairs of strings are
     then expanded to rows. Copies of a string, however many, never meet each other: what is
-    joined is as large as the result. The rows of a string are spread over SALTS parts when
-    they meet their pairs, and over blocks of BLOCK rows when they meet those of the other
-    string, so that no task holds all rows of a common string. Null texts are in no pair.
+    joined is as large as the result. Rows meet their pairs by broadcast where these are
+    counted to be few, else spread over SALTS parts; they meet those of the other string in
+    blocks of BLOCK rows. No task holds all rows of a common string. Null texts are in no pair.
     """
     hashed = text_hashes(rows)
-    strings = cut_lineage(_strings(hashed))
     of = ["table_name", "looks"]
+    strings = cut_lineage(_strings(hashed))
     other = strings.select(*of, F.col("string").alias("b"), F.col("n").alias("n_b"))
-    pairs = strings.select(*of, F.col("string").alias("a"), F.col("n").alias("n_a")).join(other, of).filter("a < b")
-    salted = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = hashed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    pairs = cut_lineage(strings.select(*of, F.col("string").alias("a"), F.col("n").alias("n_a")).join(other, of).filter("a < b"))
+    if pairs.count() <= BROADCAST_PAIRS:
+        meet = lambda own: hashed.withColumnRenamed("string", own).join(F.broadcast(pairs), [*of, own])
+    else:
+        salted = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = hashed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        meet = lambda own: spread.withColumnRenamed("string", own).join(salted, [*of, own, "salt"])
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     own = lambda n: F.pmod(F.xxhash64(F.lit(1), "key"), blocks(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
     at = [*of, "a", "b", "i", "j"]
-    low = spread.withColumnRenamed("string", "a").join(salted, [*of, "a", "salt"]).withColumn("i", own("n_a")).withColumn("j", every("n_b")).select(*at, F.col("key").alias("key_a"))
-    high = spread.withColumnRenamed("string", "b").join(salted, [*of, "b", "salt"]).withColumn("j", own("n_b")).withColumn("i", every("n_a")).select(*at, F.col("key").alias("key_b"))
+    low = meet("a").withColumn("i", own("n_a")).withColumn("j", every("n_b")).select(*at, F.col("key").alias("key_a"))
+    high = meet("b").withColumn("j", own("n_b")).withColumn("i", every("n_a")).select(*at, F.col("key").alias("key_b"))
     return low.join(high, at).select("table_name", F.least("key_a", "key_b").alias("key_lo"), F.greatest("key_a", "key_b").alias("key_hi"))

@@ -210,6 +210,8 @@ def test_pairs_and_classes_against_brute_force(spark, monkeypatch):
     skeleton = dict(zip((k for k, _ in rows), confusables.skeletons([t or "" for t in texts])))
     want = sorted((i, j) for i, a in rows for j, b in rows if i < j and a is not None and b is not None and a != b and skeleton[i] == skeleton[j])
     assert got == want
+    monkeypatch.setattr(confusables, "BROADCAST_PAIRS", 0)
+    assert sorted((r.key_lo, r.key_hi) for r in confusables.alike_pairs(df).collect()) == want
     classes = {r.key: (r.class_key, r.n_links) for r in confusables.alike_classes(df).collect()}
     alike = lambda i: [(j, b) for j, b in rows if b is not None and skeleton[j] == skeleton[i]]
     assert classes == {i: (min(j for j, _ in alike(i)), sum(b != a for _, b in alike(i))) for i, a in rows if a is not None}
