@@ -1,5 +1,6 @@
 """Residue, cut texts, wrong decoding and consistent forms on small hand-made cases."""
 
+import random
 import time
 import unicodedata
 
@@ -112,6 +113,27 @@ def test_cut_texts(spark, tail, cut):
     assert found == {999: cut, 1000: cut}
 
 
+def test_walk_of_the_trie_against_brute_force(spark):
+    rng = random.Random(2)
+    some = lambda: "".join(rng.choice("abあ") for _ in range(rng.randint(1, 5)))
+    vocabulary = [(w, rng.randint(1, 9)) for w in {some() for _ in range(80)}]
+    asked = {some() for _ in range(60)} | {"zz", "a"}
+    got = truncation.prefixes(spark.createDataFrame([(w,) for w in asked], "word string"), spark.createDataFrame(vocabulary, "word string, n bigint"))
+    assert {r.word: r.longer for r in got.collect()} == {a: sum(n for w, n in vocabulary if w != a and w.startswith(a)) for a in asked}
+
+
+def test_very_long_words_and_lengths(spark):
+    word = "ab" * 20_000
+    rows = [(1, f"We met {word} there. Then {word} left."), (2, f"We met {word[:30_000]}"), (3, f"We met {word}"), (4, None)]
+    rows += [(k, "x y z" + " w" * (k % 7) + "。") for k in range(10, 40)]
+    found = {r.key: (r.is_cut, r.evidence) for r in truncation.find_cut(spark.createDataFrame(rows, "id bigint, t string"), "id", "t").collect()}
+    assert found[2] == (True, "prefix") and found[4] == (False, "none") and not found[1][0]
+    # an unknown last word that is no prefix: only where far more texts end at that length than around it
+    short, limit = [(k, f"話をします。{chr(0x4E00 + k)}{'の' * (k % 13)}") for k in range(100)], [(k, f"話をします。{chr(0x5E00 + k)}朝へ行く") for k in range(200, 300)]
+    found = {r.key: (r.is_cut, r.evidence) for r in truncation.find_cut(spark.createDataFrame(short + limit, "id bigint, t string"), "id", "t").collect()}
+    assert all(found[k] == (True, "length") for k, _ in limit) and not any(found[k][0] for k, t in short if len(t) != 11)
+
+
 def test_cut_of_an_empty_table(spark):
     assert truncation.find_cut(spark.createDataFrame([], "id bigint, t string"), "id", "t").count() == 0
 
