@@ -59,12 +59,12 @@ _CLOSERS = frozenset("」』)\"'】〉》]")
 _OPENERS = {"「": "」", "『": "』", "(": ")", "【": "】"}
 _HANGING = frozenset("、,") | frozenset(_OPENERS)
 _OMISSION = re.compile(r"(?:\.{3,}|[…‥]+|・{2,})\s*$")
-_BROKEN = re.compile(r"[�\ud800-\udfff]\s*$")
+_OMITS = frozenset(".…‥・")
 _DIGITS = re.compile(r"[0-9]+")
 
 
 def words(form: str) -> list[str]:
-    return _WORD.findall(_DIGITS.sub("0", form).lower())
+    return _WORD.findall(_DIGITS.sub("0", form.lower()))
 
 
 def _tokens(text: str, order: int, counts: Counter) -> list[str]:
@@ -96,9 +96,9 @@ def last_words(form: str, w: list[str] | None = None, order: int = ORDER) -> tup
     form = form.rstrip()
     if not form:
         return "complete", False, []
-    if _BROKEN.search(form):
+    if form[-1] == "�" or "\ud800" <= form[-1] <= "\udfff":
         return "broken", True, []
-    bare = _OMISSION.sub("", form).rstrip()
+    bare = _OMISSION.sub("", form).rstrip() if form[-1] in _OMITS else form
     marked = bare != form
     w = words(bare) if marked or w is None else w
     if not w or w[-1] in _END:
