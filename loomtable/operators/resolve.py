@@ -2,53 +2,91 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtable.functions.text import without_suffix
+from loomtable.session import cut_lineage
+
+
+AUTOMATON_NAMES = 200_000  # counted names up to which an automaton of them is sent to the tasks
+
+
+@lru_cache(2)
+def _automaton(digest: str, names: tuple[str, ...]):
+    """A search over all names at once; digest stands for them in the cache."""
+    try:
+        import ahocorasick
+    except ImportError:
+        known, lengths = frozenset(names), sorted({len(n) for n in names})
+        return lambda t: ((i + n - 1, t[i : i + n]) for n in lengths for i in range(len(t) - n + 1) if t[i : i + n] in known)
+    search = ahocorasick.Automaton()
+    for n in names:
+        search.add_word(n, n)
+    search.make_automaton()
+    return search.iter
+
+
+def _places(batches: Iterator[pa.RecordBatch], found: Callable[[str], Iterator[tuple[str, int]]]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, name, at) of the first place of each name that `found` gives of a text."""
+
+    def made(kind: pa.DataType) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(parts, pa.string()), pa.array(places, pa.int32())], names=["key", "name", "at"])
+        for kept in (ids, parts, places):
+            kept.clear()
+        return out
+
+    ids, parts, places = [], [], []
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            first: dict[str, int] = {}
+            for name, at in found(t):
+                if first.setdefault(name, at) > at:
+                    first[name] = at
+            ids += [k] * len(first)
+            parts += first.keys()
+            places += first.values()
+            if len(ids) > 100_000:
+                yield made(kind)
+        if ids:
+            yield made(kind)
 
 
 def names_in_texts(texts: DataFrame, key: str, text: str, names: DataFrame, name: str, least: int = 2) -> DataFrame:
     """(key, name, at): every name that occurs in each text, with its first position from 1.
 
-    A text is cut into all its stretches of the lengths that names have, and stretches meet
-    names by equality. No pair of text and name is ever formed that does not match. Both
-    sides may be large; the lengths of names are few numbers and go through the driver.
+    Names are counted. Up to AUTOMATON_NAMES of them go to the tasks as one automaton, and
+    only what matches leaves a batch. Beyond, a text is cut into all its stretches of the
+    lengths that names have, and stretches meet names by equality; the lengths are few
+    numbers and go through the driver. No pair of text and name is formed that does not match.
     """
-    known = names.select(F.col(name).alias("name")).filter(F.length("name") >= least).distinct()
-    lengths = sorted(r[0] for r in known.select(F.length("name")).distinct().collect())
+    known = cut_lineage(names.select(F.col(name).alias("name")).filter(F.length("name") >= least).distinct())
     rows = texts.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    if not lengths:
+    schema = f"key {rows.schema['key'].dataType.simpleString()}, name string, at int"
+    n = known.count()
+    if n == 0:
         return rows.limit(0).select("key", F.lit("").alias("name"), F.lit(0).alias("at"))
+    if n <= AUTOMATON_NAMES:
+        some = tuple(sorted(r[0] for r in known.collect()))  # counted above
+        digest = hashlib.sha256("\0".join(some).encode("utf-8", "surrogatepass")).hexdigest()
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hits = _automaton(digest, some)
+            return _places(batches, lambda t: ((name, end - len(name) + 2) for end, name in hits(t)))
+
+        return rows.mapInArrow(search, schema)
+    lengths = sorted(r[0] for r in known.select(F.length("name")).distinct().collect())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(kind: pa.DataType) -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(parts, pa.string()), pa.array(places, pa.int32())], names=["key", "name", "at"])
-            for kept in (ids, parts, places):
-                kept.clear()
-            return out
-
-        ids, parts, places = [], [], []
-        for batch in batches:
-            kind = batch.schema.field(0).type
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                first: dict[str, int] = {}
-                for n in lengths:
-                    for i in range(len(t) - n + 1):
-                        first.setdefault(t[i : i + n], i + 1)
-                ids += [k] * len(first)
-                parts += first.keys()
-                places += first.values()
-                if len(ids) > 100_000:
-                    yield made(kind)
-            if ids:
-                yield made(kind)
+        return _places(batches, lambda t: ((t[i : i + n], i + 1) for n in lengths for i in range(len(t) - n + 1)))
 
-    stretches = rows.mapInArrow(cut, f"key {rows.schema['key'].dataType.simpleString()}, name string, at int")
-    return stretches.join(known, "name").select("key", "name", "at")
+    return rows.mapInArrow(cut, schema).join(known, "name").select("key", "name", "at")
 
 
 def longest_name(found: DataFrame) -> DataFrame:
@@ -74,8 +112,7 @@ def resolve_names(names: DataFrame, key: str, name: str, entities: DataFrame, en
     Tier 1 is the same name, 2 the same without suffixes, 3 a name that stands anywhere in
     the other, the asked one also without its suffix. A form of one character asks for
     nothing. Within a tier the longest name wins, then the larger name, then the larger key.
-    Containment meets by equality of stretches (names_in_texts), and of each part only the
-    longest name met goes on.
+    Containment is found by names_in_texts, and of each part only the longest name met goes on.
     """
     parts = names.select(F.col(key).alias("key"), F.posexplode(F.concat(F.array(F.col(name)), F.split(F.col(name), separators))).alias("pos", "part")).filter(F.length("part") >= 2)
     known = entities.select(F.col(entity).alias("entity"), F.col(entity_name).alias("known")).distinct()
@@ -102,7 +139,7 @@ def in_context(text: Column, name: str, followed_by: list[str], not_followed_by:
 def curated_matches(rules: DataFrame, persons: DataFrame, least: int = 2) -> DataFrame:
     """(rule, person, how): persons of rules(rule) by the same name; a rule that no one has, by containment either way.
 
-    Containment meets by equality of stretches (names_in_texts), never by pairs.
+    Containment is found by names_in_texts, never by pairs.
     """
     rules = rules.select("rule").filter("rule IS NOT NULL").distinct()
     persons = persons.select("person").filter("person IS NOT NULL").distinct()

@@ -4,6 +4,7 @@ import difflib
 import json
 import math
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomtable.functions import text as X
 from loomtable.models import growth, irt, kmeans, mixed, sem
-from loomtable.operators import dedup, extract, merge, resolve, rules, windows
+from loomtable.operators import dedup, extract, merge, resolve, rules, skew, windows
 from loomtable.sources import files
 from loomtable.streaming import incremental
 
@@ -189,14 +190,28 @@ def test_contained_heads_anywhere_in_the_text(spark):
     assert {201, 203} <= want and not {202, 205} & want
 
 
-def test_names_in_texts_against_brute_force(spark):
+def test_names_in_texts_against_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     texts = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))) for i in range(60)] + [(99, None)]
     names = ["ab", "abc", "cc", "bab", "a", "zzzz"]
     t = spark.createDataFrame(texts, "k bigint, text string")
     n = spark.createDataFrame([(x,) for x in names + ["ab"]], "name string")
-    got = sorted((r.key, r.name, r["at"]) for r in resolve.names_in_texts(t, "k", "text", n, "name").collect())
-    assert got == sorted((k, x, s.index(x) + 1) for k, s in texts if s for x in names if len(x) >= 2 and x in s)
+    want = sorted((k, x, s.index(x) + 1) for k, s in texts if s for x in names if len(x) >= 2 and x in s)
+    for most in (resolve.AUTOMATON_NAMES, 0):  # as an automaton, and as stretches
+        monkeypatch.setattr(resolve, "AUTOMATON_NAMES", most)
+        assert sorted((r.key, r.name, r["at"]) for r in resolve.names_in_texts(t, "k", "text", n, "name").collect()) == want
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    assert sorted((s[e - len(x) + 1 : e + 1], e) for s in ["abcc"] for e, x in resolve._automaton("d", ("ab", "cc", "c"))(s)) == [("ab", 1), ("c", 2), ("c", 3), ("cc", 3)]
+    assert resolve.names_in_texts(t, "k", "text", n.limit(0), "name").count() == 0
+
+
+def test_join_with_few_rows_of_a_key(spark):
+    rows = spark.range(200).select("id", (F.col("id") % 3).alias("k"))
+    few = spark.createDataFrame([(0, "a"), (2, "c"), (2, "d")], "k bigint, v string")
+    for how in ("inner", "left", "left_semi"):
+        want = sorted(map(tuple, rows.join(few, "k", how).collect()), key=str)
+        for most in (100, 0):
+            assert sorted(map(tuple, skew.join_few(rows, few, ["k"], "id", how, most).collect()), key=str) == want
 
 
 def test_resolver_tiers(spark):
