@@ -39,7 +39,7 @@ def test_spans_with_a_grammar(text, want):
 
 
 def test_names_by_what_they_give_away(spark):
-    common = [(k, "聖ルミナさんと試合をしました。担任の○○先生や校長先生、皆さんに感謝します。", "高校生") for k in range(60)]
+    common = [(k, f"{k}日に聖ルミナさんと試合をしました。担任の○○先生や校長先生、皆さんに感謝します。", "高校生") for k in range(60)]
     rare = [
         (100, "相談相手は樫倉燈葉さんでした。", "霜畑さん・中学生"),
         (101, "My teacher Ms. Hishikura encouraged me.", "高校生：カリヅカウタマ"),
@@ -48,7 +48,7 @@ def test_names_by_what_they_give_away(spark):
     ]
     df = spark.createDataFrame([(a, b, c, "x") for a, b, c in common + rare], "record_id bigint, quote_text string, speaker_attribute string, key string")
     rows = pii.fields_of(df, "record_id", ["quote_text", "speaker_attribute"])
-    found = {(r.key, r.field_name, r.pii_type) for r in pii.find_personal_data(rows, threshold_bits=4.5).collect()}
+    found = {(r.key, r.field_name, r.pii_type) for r in pii.find_personal_data(rows).collect()}
     assert found == {
         (100, "quote_text", "name"),
         (100, "speaker_attribute", "name"),
@@ -57,7 +57,7 @@ def test_names_by_what_they_give_away(spark):
         (102, "quote_text", "name"),
         (102, "quote_text", "email"),
     }
-    texts = {(r.key, r.field_name): r.redacted_text for r in pii.redacted(rows, threshold_bits=4.5).collect()}
+    texts = {(r.key, r.field_name): r.redacted_text for r in pii.redacted(rows).collect()}
     assert texts[100, "quote_text"] == "相談相手は[NAME]さんでした。"
     assert texts[102, "quote_text"] == "私、[NAME]は立候補しました。メールは [EMAIL] です。"
     assert texts[0, "quote_text"] == common[0][1]
@@ -65,7 +65,59 @@ def test_names_by_what_they_give_away(spark):
 
 
 def test_redaction_takes_the_longest_of_overlapping_spans():
-    assert pii.redact("abcdef", [("name", 1, 3), ("email", 1, 5), ("phone", 4, 6)]) == "a[EMAIL]f"
+    assert pii.redact("abcdef", [("name", 1, 3, ""), ("email", 1, 5, ""), ("phone", 4, 6, "")]) == "a[EMAIL]f"
+    assert pii.redact("abcdef", [("address", 1, 5, "bc")]) == "abc[ADDRESS]f"
+
+
+def found_in(spark, records, **options):
+    """{(key, field, type, what stands there)} of records (id, school, quote, attribute)."""
+    df = spark.createDataFrame(records, "id bigint, school string, quote string, attribute string")
+    rows = pii.fields_of(df, "id", ["quote", "attribute"], "school")
+    text = {(r.key, r.field_name): r.text for r in rows.collect()}
+    got = pii.find_personal_data(rows, **options).collect()
+    assert all(r.bits > 0 and 0 <= r.concentration <= 1 for r in got)
+    return {(r.key, r.field_name, r.pii_type, text[r.key, r.field_name][r.start : r.stop]) for r in got}
+
+
+def test_common_names_of_one_school_and_shared_words(spark):
+    """Beyond the bits a term gives away of the voice, its concentration in a group counts."""
+    records = [(k, "big" if k % 3 == 0 else f"s{k % 40}", f"{k}回目の日記です。" + ("担任の樫倉先生に相談しました。" if k % 3 == 0 else "聖ルミナさんと試合をしました。" if k % 7 == 0 else ""), "高校生") for k in range(4000)]
+    got = found_in(spark, records)
+    assert {w for _, _, _, w in got} == {"樫倉"}
+    assert {k for k, _, _, _ in got} == set(range(0, 4000, 3))
+
+
+def test_a_record_alone_and_in_a_large_corpus(spark):
+    record = (1, "s1", "相談相手は樫倉燈葉さんでした。電話は090-1234-5678、住所は緋山県花筏市帆柱町1丁目2番3号です。", "帰国生（霜畑さん）")
+    want = {(1, "quote", "name", "樫倉燈葉"), (1, "quote", "phone", "090-1234-5678"), (1, "quote", "address", "緋山県花筏市帆柱町1丁目2番3号"), (1, "attribute", "name", "霜畑")}
+    many = [(k, f"s{k % 50}", f"{k}日目に合唱部の先生と話しました。", "帰国生") for k in range(2, 5000)]
+    assert want <= found_in(spark, [record])
+    assert found_in(spark, [record, *many]) == want
+
+
+def test_names_outside_of_frames(spark):
+    records = [(1, "a", "相談相手は樫倉燈葉さんでした。", None), (2, "b", "壇上には樫倉燈葉が立ち、拍手が起きた。", None), (3, "c", "樫倉燈葉園の前で待った。", None)]
+    records += [(4, "d", "希望丘さんがいた。", None), (10, "f", "隣は樫倉燈葉さん。", None)] + [(k, "e", f"{k}人で希望丘まで歩いた。", None) for k in range(5, 9)]
+    got = found_in(spark, records)
+    assert {(k, w) for k, _, _, w in got} == {(1, "樫倉燈葉"), (2, "樫倉燈葉"), (10, "樫倉燈葉"), (4, "希望丘")}  # 希望丘 stands mostly outside of frames
+
+
+def test_a_garbled_text_that_holds_a_name(spark):
+    text = "縺薙ｓ縺ｫ縺｡縺ｯ縲ょ⊂縺励＞譛ｬ縺後≠繧翫∪縺吶縺薙ｓ縺ｫ縺｡縺ｯ。相談相手は樫倉燈葉さんでした。"
+    assert (1, "quote", "name", "樫倉燈葉") in found_in(spark, [(1, "a", text, None)])
+
+
+def test_addresses_are_cut_down_to_what_many_share(spark):
+    records = [(k, f"s{k % 9}", f"{k}番目、緋山県水鏡町から通う。", None) for k in range(400)] + [(900, "x", "住所：緋山県水鏡町5-6-7。", None), (901, "y", "住所：〒123-4567 翠川県帆柱町8-9-10。", None)]
+    df = spark.createDataFrame(records, "id bigint, school string, quote string, attribute string")
+    rows = pii.fields_of(df, "id", ["quote"], "school")
+    for generalise, want in ((False, ["住所：[ADDRESS]。", "住所：[ADDRESS]。"]), (True, ["住所：緋山県水鏡町[ADDRESS]。", "住所：[ADDRESS]。"])):
+        made = pii.redacted(rows, threshold={"name": 6.0}, generalise=generalise).filter("key >= 900").orderBy("key").collect()
+        assert [r.redacted_text for r in made] == want
+
+
+def test_extra_columns_and_far_places():
+    assert spans("あ" * 200 + "緋山県花筏市" + "帆柱" * 10 + "町1丁目2番3号")[0][0] == "address"
 
 
 MASTER = [
