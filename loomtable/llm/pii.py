@@ -72,7 +72,8 @@ ID_NUMBER = re.compile(rf"{ID_CUE}\.?\s*(?:の?(?:記号|番号))?\s*(?:は|が|
 _PLAIN_ID = re.compile(r"(?<![\d-])(?!0\d)\d{4}([- ])\d{4}\1\d{4}(?![\d-])")
 
 _KD = "〇零一二三四五六七八九"
-#: Without one of these, a form cannot match.
+#: Without one of these, or without as many digits as it has at least, a form cannot match.
+_CAPITAL = re.compile("[A-Z]")
 _AT_SIGN, _DIGIT, _KANJI_DIGITS = re.compile(r"@|(?i:\bat\b)|アット"), re.compile(r"\d"), re.compile(f"[{_KD}]{{2}}")
 PHONE = re.compile(
     r"(?<![\d-])(?:\+\d{1,3}[- ]?(?:\(0\))?\d{1,4}[- ]?\d{2,4}[- ]?\d{3,4}|\(0\d{1,4}\)\s?\d{1,4}-?\d{3,4}|0\d{1,4}\s?\(\d{1,4}\)\s?\d{3,4}|0\d{1,4}([-. ])\d{1,4}\1\d{3,4}|0[5789]0\d{8}|0[1-9]\d{8})(?![\d-])"
@@ -113,7 +114,6 @@ FRAMES = [
 ]
 #: What a text must have for the frame of the same place to be tried; None for a capital letter.
 GATES = [_ANY_ADDRESSED, _ANY_ADDRESSED, _ANY_ADDRESSED, _CALLED, ("私", "僕", "俺", "わたし", "ぼく", "自分"), ("（", "("), ("の",), None, None, ("class of",), ("—", "―")]
-_CAPITAL = re.compile("[A-Z]")
 #: Words that stand where names stand: forms of address and roles, not the names of anyone.
 TITLES = frozenset(
     "皆 皆様 生徒 学生 校長 副校長 理事長 学園長 院長 教頭 担任 副担任 顧問 先輩 後輩 友 友達 仲間 同級生 保護者 母 父 兄 姉 弟 妹 祖父 祖母 お客 お母 お父 監督 部長 副部長 会長 主将 寮長 委員長 神 客 何 誰 各 貴 高校 中学 中学校 小学校 大学 学校 教科 数学 英語 国語 理科 社会 体育 音楽 美術 専任 新任 非常勤"
@@ -149,14 +149,14 @@ def typed_spans(text: str) -> tuple[list[tuple[str, int, int]], str, str]:
                     spans.append((kind, m.start(g), m.end(g)))
                     rest = _blank(rest, m.start(), m.end())  # with the words that announce it
 
-    numbers = _DIGIT.search(rest)
+    numbers = len(_DIGIT.findall(rest))
     if _AT_SIGN.search(rest):
         take("email", EMAIL)
-    if numbers:
+    if numbers >= 4:
         take("id_number", ID_NUMBER, (1, 2), lambda s: sum(c.isdigit() for c in s) >= 4)
-    if numbers or _KANJI_DIGITS.search(rest):
+    if numbers >= 9 or _KANJI_DIGITS.search(rest):
         take("phone", PHONE, good=lambda s: 9 <= sum(c.isdigit() or c in _KD for c in s) <= 13)
-    if numbers:
+    if numbers >= 12:
         take("id_number", _PLAIN_ID)
     for m in list(BLOCK.finditer(rest)) if numbers or _BLOCK_WORD.search(rest) else ():
         a = m.start()
@@ -170,7 +170,7 @@ def typed_spans(text: str) -> tuple[list[tuple[str, int, int]], str, str]:
             b = _HOUSE.match(rest, m.end()).end()
             spans.append(("address", a, b))
             rest = _blank(rest, a, b)
-    if numbers:
+    if numbers and _CAPITAL.search(rest):
         take("address", ADDRESS)
     return spans, rest, folded
 
@@ -351,7 +351,7 @@ def _elsewhere(met: DataFrame, folded: DataFrame, spans: DataFrame, names: DataF
     share = met.groupBy("term").agg(F.count("*").alias("n_met")).join(framed.groupBy("term").agg(F.count("*").alias("n_framed")), "term").filter(F.col("n_framed") >= NAMED_SHARE * F.col("n_met")).select("term")
     loose = cut_lineage(met.join(framed, ["spot", "term"], "left_anti").join(share, "term", "left_semi").groupBy("spot").agg(F.collect_set("term").alias("terms")))
     taken = spans.withColumn("spot", _spot()).join(loose.select("spot"), "spot", "left_semi").groupBy("spot").agg(F.collect_list(F.struct("start", "stop")).alias("taken"))
-    asked = folded.join(loose, "spot").join(taken, "spot", "left").select("key", "field_name", "text", "terms", "taken")
+    asked = join_few(folded, loose, ["spot"], "key").join(taken, "spot", "left").select("key", "field_name", "text", "terms", "taken")
     more = asked.mapInArrow(_outside, "key bigint, field_name string, start int, stop int, term string")
     return more.join(names, "term").select("key", "field_name", F.lit("name").alias("pii_type"), "start", "stop", "bits", "concentration")
 
