@@ -1,23 +1,33 @@
 """Text that was decoded with the wrong encoding, found and restored by best-first search.
 
-A state is a text; its cost sums how implausible each character is (a lookup by code point,
+A text is searched piece by piece, plain Japanese parting the pieces, so that each kind of
+damage is undone by itself. A state is such a piece; its cost sums how implausible each character is (a lookup by code point,
 and for raw 7-bit JIS the density of its lead bytes). The steps from a state encode the
 stretches of it that fit a legacy encoding and decode the bytes as what they may have been,
 or undo an escape. A stretch is replaced only where that lowers its own cost, so clean parts
 of a partly garbled text stay. States wait in a heap by cost and number of steps; texts seen
 before are known by a hash and not expanded again. The cheapest state that is reached wins.
+Of the steps that together undo all that can be undone, one undoes at least its share, the
+whole over the number of steps, and steps on different stretches may change places. So only
+steps are followed that take away this share of what is open in a state. The search ends
+when nothing is open in the cheapest text: single rare characters apart from each other are
+not, since every character of a wrong decoding becomes two at least, side by side, nor gaps,
+which no step fills. Else it ends when no state that waits can lead to a cheaper one, a text
+costing nothing at least and a step STEP_COST. No number of states ends it.
 
 A text is garbled if the search reaches a plainly cheaper one through a decoding, or if it
 bears what a lossy decoding leaves behind: replacement characters, controls and private
 characters in number. `restored` is null where the lost bytes leave gaps.
 
 One pass per row, no shuffle; most rows are settled by one array lookup for their batch and
-never searched. The number of expanded states is bounded, the length of a text is not. Null
-and empty texts are not garbled.
+never searched. The steps tried from a state are those whose characters it has. Every step
+lowers the cost or the length of a stretch, so the states are finitely many. Null and empty
+texts are not garbled.
 """
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import html
 import re
@@ -34,8 +44,6 @@ from pyspark.sql import types as T
 
 STEP_COST = 0.3
 LEAST_GAIN = 1.0
-MAX_STATES = 40  # expanded states of one text; a path needs one to four
-PATIENCE = 12  # states that are expanded without coming closer
 GAP = "�"
 _SUSPECT = 0.9  # cost below which no search begins
 
@@ -115,6 +123,13 @@ def _bytes_of(ch: str, codec: str) -> bytes | None:
         return None
 
 
+def _lost(error: UnicodeError) -> tuple[bytes, int]:
+    """What stands for characters that a codec lacks when sequences are only looked for."""
+    return b"".join(_bytes_of(ch, error.encoding.replace("-", "_")) or b"\xfe" for ch in error.object[error.start : error.end]), error.end
+
+
+codecs.register_error("loomtable-lost", _lost)
+
 _UTF8 = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3})")
 
 
@@ -128,6 +143,9 @@ def _as_utf8(codec: str) -> Callable[[str], str]:
 
     def stretch(found: re.Match) -> str:
         run = found.group(0)
+        # only what costs more than 0.5 can be replaced by something cheaper, and only where there is a sequence
+        if float(costs()[_points(run)].sum()) <= 0.5 or not sequence.search(run.encode(codec, "loomtable-lost")):
+            return run
         raw = bytearray()
         owner: list[int] = []
         for i, ch in enumerate(run):
@@ -135,8 +153,6 @@ def _as_utf8(codec: str) -> Callable[[str], str]:
             b = b if b is not None else (b"\xff" if ch == GAP else b"\xfe")
             raw += b
             owner += [i] * len(b)
-        if not sequence.search(raw):
-            return run
         table = costs()
         out: list[str] = []
         used = at = 0  # characters given out, bytes looked at
@@ -281,30 +297,108 @@ STEPS: dict[str, Callable[[str], str]] = {
 _ESCAPES = {"percent", "quoted-printable", "backslash", "entity"}
 
 
+_CP1252 = frozenset(map(ord, "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"))
+_MAC_LEADS = frozenset(map(ord, bytes(range(0xC2, 0xF5)).decode("mac_roman")))
+
+
+def applicable(text: str) -> list[str]:
+    """The steps that may change a text, by the characters they need."""
+    points = np.unique(_points(text))
+    beyond = points[points >= 0x80]
+    leads, high = bool(((beyond >= 0xC2) & (beyond <= 0xF4)).any()), bool((beyond < 0x100).any())
+    single = high or any(int(p) in _CP1252 for p in beyond[(beyond > 0x100) & (beyond < 0x2200)])
+    east = bool((beyond >= 0x2E80).any())
+    needs = {
+        "latin-1 > utf-8": leads,
+        "cp1252 > utf-8": leads,
+        "mac_roman > utf-8": any(int(p) in _MAC_LEADS for p in beyond[(beyond < 0x3000) | (beyond == 0xF8FF) | (beyond >= 0xFB00)]),
+        "cp932 > utf-8": east,
+        "gbk > utf-8": east,
+        "euc_jp > utf-8": east,
+        "cp1252 > cp932": single,
+        "mac_roman > cp932": bool((beyond < 0x3000).any()),
+        "latin-1 > euc_jp": high,
+        "cp1252 > euc_jp": single,
+        "cp932 > euc_jp": bool(((beyond >= 0xFF61) & (beyond <= 0xFF9F)).any()),
+        "escape-less jis": "$" in text,
+        "bare jis": "$" in text,
+        "percent": "%" in text,
+        "quoted-printable": "=" in text,
+        "backslash": "\\" in text,
+        "entity": "&" in text,
+    }
+    return [name for name in STEPS if needs[name]]
+
+
+_ESCAPED = re.compile(_ESCAPE.pattern + r"|\$[!-s].?\$")
+RARE, APART = 0.35, 3  # cost from which a character counts as rare; characters between two that stand apart
+
+
+def open_cost(text: str) -> float:
+    """Cost of what a wrong decoding may have left: not that of single rare characters apart from each other, nor of gaps, which no step fills."""
+    points = _points(text)
+    cost = costs()[points]
+    rare = np.flatnonzero((cost >= RARE) & (points != ord(GAP)))
+    if not rare.size:
+        return float(len(_ESCAPED.findall(text)))
+    far = np.r_[True, np.diff(rare) > APART]
+    lone = far & np.r_[far[1:], True] & (cost[rare] < 1.0)
+    return float(cost[rare[~lone]].sum()) + len(_ESCAPED.findall(text))
+
+
+def settled(text: str) -> bool:
+    return open_cost(text) == 0
+
+
+CLEAN_RUN = 10  # signs of plain Japanese in a row that part two stretches; one of a wrong decoding has a costly sign every few
+
+
+def pieces(text: str) -> list[str]:
+    """The text in parts that were damaged each by itself: cut at line ends, and amid runs of plain Japanese."""
+    points = _points(text)
+    plain = (costs()[points] == 0) & (points >= 0x3000)
+    edges = np.flatnonzero(np.diff(np.r_[False, plain, False].astype(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    long = ends - starts >= CLEAN_RUN
+    lines = np.flatnonzero((points[:-1] == 10) & (np.r_[0, points[:-2]] != ord("="))) + 1
+    cuts = np.unique(np.r_[0, (starts[long] + ends[long]) // 2, lines, len(text)]).astype(int).tolist()
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def search(text: str) -> tuple[str, list[str]]:
-    """The cheapest text that is reached from text, and the steps to it."""
+    """The cheapest text that is reached from text, piece by piece, and the steps to it; those of different pieces one after the other."""
+    done = [_search(p) for p in pieces(text)]
+    paths = list(dict.fromkeys(tuple(path) for _, path in done if path))
+    return "".join(t for t, _ in done), list(paths[0]) if len(paths) == 1 else list(dict.fromkeys(step for path in paths for step in path))
+
+
+def _search(text: str) -> tuple[str, list[str]]:
     first = cost_of(text)
     best: tuple[float, str, tuple[str, ...]] = (first, text, ())
     heap = [(first, 0, text, ())]
     seen = {hash(text)}
-    order = states = since = 0
-    while heap and states < MAX_STATES and since < PATIENCE:
+    order = 0
+    left = open_cost(text)
+    while heap and left:
         _, _, state, path = heapq.heappop(heap)
-        if best[0] <= STEP_COST * len(best[2]):  # nothing is implausible any more
-            break
-        states += 1
-        since += 1
-        for name, step in STEPS.items():
-            reached = step(state)
+        if STEP_COST * (len(path) + 1) >= best[0]:  # not even a text that costs nothing would be cheaper
+            continue
+        least = open_cost(state) / len(STEPS)
+        before = cost_of(state)
+        for name in applicable(state):
+            reached = STEPS[name](state)
             if reached == state or hash(reached) in seen:
                 continue
             seen.add(hash(reached))
-            total = cost_of(reached) + STEP_COST * (len(path) + 1)
+            after = cost_of(reached)
+            if before - after < least and name not in _ESCAPES:
+                continue
+            total = after + STEP_COST * (len(path) + 1)
             order += 1
             heapq.heappush(heap, (total, order, reached, (*path, name)))
             if total < best[0]:
                 best = (total, reached, (*path, name))
-                since = 0
+                left = open_cost(reached)
     return best[1], list(best[2])
 
 
@@ -326,9 +420,6 @@ def judge(text: str) -> tuple[bool, str | None, list[str]]:
     return False, None, []
 
 
-_ESCAPED = re.compile(_ESCAPE.pattern + r"|\$[!-s].?\$")
-
-
 def judge_all(texts: list[str | None]) -> list[tuple[bool, str | None, list[str]]]:
     """judge() of every text; one lookup over all of them says which are searched."""
     some = [t or "" for t in texts]

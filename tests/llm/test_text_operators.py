@@ -183,6 +183,23 @@ def test_search_ends_on_long_texts():
     assert found and restored == ORIGINAL * 2000
 
 
+def test_several_kinds_of_damage_in_one_text():
+    pieces = [GARBLED[0], PROSE, GARBLED[2], "\n", GARBLED[3], PROSE, GARBLED[4], "\n", GARBLED[6]]
+    found, restored, steps = mojibake.judge("".join(pieces))
+    assert found and restored == "".join(ORIGINAL if p in GARBLED else p for p in pieces) and len(set(steps)) >= 4
+    six = ORIGINAL
+    for _ in range(6):
+        six = six.encode().decode("latin-1")
+    assert mojibake.judge(six)[1] == ORIGINAL
+
+
+def test_search_over_long_lossy_texts_ends():
+    lossy = (ORIGINAL * 100).encode().decode("cp1252", "replace").encode().decode("cp1252", "replace")
+    began = time.time()
+    found, restored, _ = mojibake.judge(lossy)
+    assert found and restored is None and time.time() - began < 20
+
+
 SAME = [
     ("ＡＢＣ　１２", "ABC 12"),
     ("ﾄﾞｱ", "ドア"),
