@@ -1,9 +1,10 @@
 """Statistics of each document's text, and which texts are no natural prose.
 
 `text_statistics` is made of JVM expressions: words, their mean length, symbols, digits, lines
-that end in punctuation, common words. The classifier adds shape features that need more
-than regular expressions (share of text in whole sentences, repetition, plausibility of
-characters), computed per Arrow batch.
+that end in punctuation, common words. The classifier takes the same statistics and shape
+features that need more than regular expressions (share of text in whole sentences,
+repetition, plausibility of characters) from one pass over the code points of an Arrow batch:
+tables say of each point what it is, sums over each text are differences of running sums.
 
 Labels are weak: texts that are plainly made of sentences are prose, texts without any and
 with the marks of lists, tables, code or noise are not, the rest has no label. Gradient-
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,54 +96,216 @@ SHAPES = ["sentence_share", "hiragana_share", "latin_share", "mean_line", "bulle
 FEATURES = ["n_chars", "n_words", "mean_word_length", "symbol_ratio", "digit_ratio", "n_lines", "ended_line_share", "common_word_share", *SHAPES]
 
 
-def shapes(text: str) -> list[float]:
-    """The features of SHAPES of one text that is not blank."""
-    t = re.sub(r"\r\n?", "\n", text)
-    solid = re.sub(r"\s+", "", t)
-    n = max(1, len(solid))
-    flat = re.sub(r"(?<=[ぁ-ヿ一-鿿、])\n(?=[ぁ-ヿ一-鿿、。0-9])", "", t)
-    in_sentences = at = 0
-    for m in _SENTENCE_END.finditer(flat):
-        s, at = flat[at : m.end()].strip(), m.end()
-        body = re.sub(r"\s+", "", s)
-        hira = sum("ぁ" <= c <= "ん" for c in body)
-        words = [w.lower().replace("’", "'") for w in _WORDS.findall(s)]
-        if len(body) >= 6 and hira * 5 >= len(body) and len(set(body)) >= 6 or len(words) >= 4 and len(set(words)) >= 4 and any(w in _FUNCTION for w in words) and 2 * sum(map(len, words)) >= len(body):
-            in_sentences += len(body)
-    lines = [x for x in t.split("\n") if x.strip()]
-    points = np.frombuffer(solid.encode("utf-32-le", "surrogatepass"), np.uint32)
-    hira = int(((points >= 0x3041) & (points <= 0x3096)).sum())
-    latin = int(((points | 32) - 97 < 26).sum())
-    grams = points[:-3].astype(np.int64) * 1000003 + points[1:-2].astype(np.int64) * 10007 + points[2:-1].astype(np.int64) * 101 + points[3:] if points.size > 4 else points
-    words = [w.lower() for w in _WORDS.findall(t)]
-    return [
-        min(1.0, in_sentences / n),
-        hira / n,
-        latin / n,
-        sum(map(len, lines)) / max(1, len(lines)),
-        sum(bool(_BULLET.match(x)) for x in lines) / max(1, len(lines)),
-        sum(c in "\t|｜,，;；／/>＞" for c in t) / n,
-        sum(c in "{}[]()<>=;^&_#$%" for c in solid) / n,
-        np.unique(grams).size / max(1, grams.size) if points.size < 400 else np.unique(grams[:: max(1, grams.size // 100_000)]).size / max(1, len(range(0, grams.size, max(1, grams.size // 100_000)))),
-        float(costs()[points].mean()) if points.size else 0.0,
-        float(max((len(w) for w in re.split(r"[\s、。,.]+", t)), default=0)),
-        sum(w in _FUNCTION for w in words) / max(1, len(words)),
-    ]
+_SPACE_JVM = frozenset(map(ord, " \t\n\x0b\f\r\xa0\u3000"))
+_TAIL = frozenset(map(ord, " \t\r\u3000"))
+_BREAKS = frozenset(map(ord, "\n\r\x85\u2028\u2029"))
+
+
+@lru_cache(1)
+def _classes() -> dict[str, np.ndarray]:
+    """Tables by code point, made by rule from the patterns above."""
+    top = 0x110000
+    every = np.arange(top)
+
+    def of(points) -> np.ndarray:
+        out = np.zeros(top, bool)
+        out[list(points)] = True
+        return out
+
+    latin, digit = ((every | 32) >= 97) & ((every | 32) <= 122) & (every < 128), (every >= 48) & (every <= 57)
+    kanji = ((every >= 0x4E00) & (every <= 0x9FFF)) | (every == 0x3005)
+    katakana = ((every >= 0x30A1) & (every <= 0x30FA)) | (every == 0x30FC)
+    hiragana = (every >= 0x3041) & (every <= 0x3096)
+    plain = latin | digit | ((every >= 0xC0) & (every <= 0x24F)) | kanji | hiragana | ((every >= 0x30A1) & (every <= 0x30FC))
+    marks = of(map(ord, "、。，．,.!?！？「」『』（）()'\"“”‘’：:；;・…ー-"))
+    space = np.zeros(top, bool)
+    space[[c for c in range(0x3001) if chr(c).isspace()]] = True
+    return {
+        "word": (latin + 2 * digit + 3 * kanji + 4 * katakana + 5 * hiragana).astype(np.int8),
+        "blank": of(_SPACE_JVM),
+        "symbol": ~(plain | marks | of(_SPACE_JVM)),
+        "digit": digit,
+        "latin": latin,
+        "hiragana": hiragana,
+        "prose_hiragana": (every >= ord("ぁ")) & (every <= ord("ん")),
+        "space": space,
+        "end": of(map(ord, "。．.!?！？」』）)\"”")),
+        "tail": of(_TAIL),
+        "delimiter": of(map(ord, "\t|｜,，;；／/>＞")),
+        "code": of(map(ord, "{}[]()<>=;^&_#$%")),
+        "part": space | of(map(ord, "、。,.")),
+    }
+
+
+class _Sums:
+    """Sums over stretches of an array, by one running sum."""
+
+    def __init__(self, values: np.ndarray):
+        self.total = np.zeros(values.size + 1, np.int64 if values.dtype == bool else float)
+        np.cumsum(values, out=self.total[1:])
+
+    def over(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.total[ends] - self.total[starts]
+
+
+def _layout(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of all texts, start and end of each)."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    return points, np.r_[0, ends[:-1]].astype(np.int64), ends
+
+
+def _runs(flags: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of true flags; a run ends where a text begins."""
+    begins = flags & (~np.r_[False, flags[:-1]] | first)
+    stops = flags & (~np.r_[flags[1:], False] | np.r_[first[1:], True])
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def statistics(texts: list[str], english: frozenset[str], japanese: list[str]) -> np.ndarray:
+    """The statistics of text_statistics, a row per text, as text_statistics rounds them."""
+    t = _classes()
+    points, starts, ends = _layout(texts)
+    n = len(texts)
+    first = np.zeros(points.size, bool)
+    first[starts[starts < ends]] = True
+    row = np.repeat(np.arange(n), ends - starts)
+    word = t["word"][points]
+    change = np.r_[True, word[1:] != word[:-1]][: points.size] | first
+    begins = np.flatnonzero((word > 0) & change)
+    # a Latin run after an apostrophe belongs to the Latin run before it, unless that one already has an apostrophe
+    joined = np.zeros(begins.size, bool)
+    after = begins[(begins >= 2) & (word[begins] == 1)]
+    after = after[(points[after - 1] == 39) & (word[after - 2] == 1) & ~first[after] & ~first[after - 1]]
+    joined[np.searchsorted(begins, after)] = True
+    index = np.arange(begins.size)
+    joined &= (index - np.maximum.accumulate(np.where(joined, -1, index))) % 2 == 1 if begins.size else joined
+    words = np.bincount(row[begins[~joined]], minlength=n)
+    count = lambda flags: np.bincount(row[flags], minlength=n)
+    letters, blank, digits, symbols = count(word > 0), count(t["blank"][points]), count(t["digit"][points]), count(t["symbol"][points])
+    solid = ends - starts - blank
+    # lines that are not blank; an end mark counts where only blanks follow it up to a line's end
+    line = np.cumsum(first | np.r_[False, points[:-1] == 10][: points.size])
+    filled = ~t["blank"][points]
+    lines = np.zeros(n, np.int64)
+    if filled.any():
+        at = np.flatnonzero(filled)
+        lines = np.bincount(row[at[np.r_[True, np.diff(line[at]) > 0]]], minlength=n)
+    marks = np.flatnonzero(t["end"][points])
+    ended = np.zeros(n, np.int64)
+    if marks.size:
+        stop = ~t["tail"][points]
+        following = np.minimum.accumulate(np.where(stop, np.arange(points.size), points.size)[::-1])[::-1]  # the next sign that is no blank
+        after = np.r_[following, points.size][marks + 1]
+        last = ends[row[marks]]
+        to = np.minimum(after, last)
+        over = after >= last
+        breaks = np.isin(points[np.minimum(after, points.size - 1)], list(_BREAKS)) & ~over
+        returns = _Sums(points == 13).over(marks + 1, to) > 0
+        ended = np.bincount(row[marks[over | breaks | returns]], minlength=n)
+    common = np.zeros(n, np.int64)
+    latin = count(t["latin"][points] | (points == 0x212A) | (points == 0x130))  # what lower() makes a Latin letter of
+    if english:
+        for k in np.flatnonzero(latin):
+            common[k] += sum(w in english for w in _LETTERS.findall(texts[k].lower()))
+    if japanese:
+        find = _japanese(tuple(japanese))
+        for k in np.flatnonzero(letters - latin > 0):
+            common[k] += find(texts[k])
+    share = lambda part, whole: np.round(np.where(whole > 0, part / np.maximum(whole, 1), 0.0), 6)
+    return np.stack([ends - starts, words, share(letters, words), share(symbols, solid), share(digits, solid), lines, share(ended, lines), share(common, words)], 1).astype(float)
+
+
+_LETTERS = re.compile("[a-z]+")
+
+
+@lru_cache(4)
+def _japanese(words: tuple[str, ...]):
+    """How many of the words stand in a text, one after the other, the longest first."""
+    try:
+        import ahocorasick
+    except ImportError:
+        pattern = re.compile("|".join(map(re.escape, sorted(words, key=lambda w: (-len(w), w)))))
+        return lambda text: len(pattern.findall(text))
+    search = ahocorasick.Automaton()
+    for w in words:
+        search.add_word(w, 1)
+    search.make_automaton()
+    return lambda text: len(list(search.iter_long(text)))
+
+
+_RETURNS = re.compile(r"\r\n?")
+_FLOW = re.compile(r"(?<=[ぁ-ヿ一-鿿、])\n(?=[ぁ-ヿ一-鿿、。0-9])")
+_BLANKS = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def shapes(texts: list[str]) -> np.ndarray:
+    """The features of SHAPES, a row per text; no text may be blank."""
+    t = _classes()
+    given = [_RETURNS.sub("\n", x) if "\r" in x else x for x in texts]
+    flat = [_FLOW.sub("", x) if "\n" in x else x for x in given]
+    points, starts, ends = _layout(flat)
+    n = len(texts)
+    filled = ~t["space"][points]
+    sums = {c: _Sums(t[c][points]) for c in ("hiragana", "prose_hiragana", "latin", "code", "delimiter")}
+    solid = _Sums(filled)
+    size = np.maximum(1, solid.over(starts, ends))
+    cost = _Sums(costs()[points].astype(float) * filled)
+    longest = _longest(given)
+    in_sentences, function = np.zeros(n), np.zeros(n)
+    hira, body, roman = sums["prose_hiragana"].total, solid.total, sums["latin"].total
+    latin = sums["latin"].over(starts, ends)
+    mean_line, bullets, distinct = np.zeros(n), np.zeros(n), np.ones(n)
+    compact = points[filled].astype(np.int64)
+    from_, to_ = solid.total[starts], solid.total[ends]
+    for k, text in enumerate(flat):
+        s = at = int(starts[k])
+        for m in _SENTENCE_END.finditer(text):
+            a, at = at, s + m.end()
+            long = int(body[at] - body[a])
+            if long >= 6 and (hira[at] - hira[a]) * 5 >= long and len(set(text[a - s : at - s]) - _BLANKS) >= 6:
+                in_sentences[k] += long
+            elif 2 * (roman[at] - roman[a]) + 12 >= long and roman[at] > roman[a]:
+                words = [w.lower().replace("’", "'") for w in _WORDS.findall(text[a - s : at - s])]
+                if len(words) >= 4 and len(set(words)) >= 4 and not _FUNCTION.isdisjoint(words) and 2 * sum(map(len, words)) >= long:
+                    in_sentences[k] += long
+        lines = [x for x in given[k].split("\n") if x and not x.isspace()]
+        mean_line[k] = sum(map(len, lines)) / max(1, len(lines))
+        bullets[k] = sum(1 for x in lines if _BULLET.match(x)) / max(1, len(lines))
+        if latin[k]:
+            words = _WORDS.findall(given[k].lower())
+            function[k] = sum(1 for w in words if w in _FUNCTION) / max(1, len(words))
+        p = compact[from_[k] : to_[k]]
+        if p.size > 4:
+            p = p[:-3] * 1000003 + p[1:-2] * 10007 + p[2:-1] * 101 + p[3:]
+        p = np.sort(p)
+        distinct[k] = (1 + np.count_nonzero(p[1:] != p[:-1])) / p.size if p.size else 0.0
+    over = lambda c: sums[c].over(starts, ends) / size
+    return np.stack([np.minimum(1.0, in_sentences / size), over("hiragana"), over("latin"), mean_line, bullets, over("delimiter"), over("code"), distinct, cost.over(starts, ends) / size, longest, function], 1)
+
+
+def _longest(texts: list[str]) -> np.ndarray:
+    """Of each text the longest stretch without a blank, comma or stop."""
+    points, starts, ends = _layout(texts)
+    first = np.zeros(points.size, bool)
+    first[starts[starts < ends]] = True
+    a, b = _runs(~_classes()["part"][points], first)
+    longest = np.zeros(len(texts))
+    np.maximum.at(longest, np.searchsorted(ends, a, side="right"), b - a)
+    return longest
 
 
 def features(df: DataFrame, key: str, text: str, english: list[str], japanese: list[str]) -> DataFrame:
     """(key, one double per name of FEATURES) of the rows whose text is not blank; key must be a bigint."""
     some = df.filter(F.col(text).rlike(r"(?U)\S")).select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    stats = text_statistics(some.withColumn("carried", F.struct("key", "text")), "carried", "text", english, japanese)
-    plain = FEATURES[: -len(SHAPES)]
-    stats = stats.select("carried.key", "carried.text", *(F.col(c).cast("double") for c in plain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([shapes(t) for t in batch.column(1).to_pylist()], float).reshape(-1, len(SHAPES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *(pa.array(made[:, k]) for k in range(len(SHAPES)))], names=["key", *FEATURES])
+            texts = batch.column(1).to_pylist()
+            made = np.concatenate([statistics(texts, frozenset(english), japanese), shapes(texts)], 1) if texts else np.zeros((0, len(FEATURES)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(made[:, k]) for k in range(len(FEATURES)))], names=["key", *FEATURES])
 
-    return stats.mapInArrow(run, "key bigint, " + ", ".join(f"{c} double" for c in FEATURES))
+    return some.mapInArrow(run, "key bigint, " + ", ".join(f"{c} double" for c in FEATURES))
 
 
 def weak_label(x: np.ndarray) -> np.ndarray:

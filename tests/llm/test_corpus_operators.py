@@ -272,3 +272,27 @@ def test_holdout_is_judged_as_by_hand(spark):
     h = quality.holdout_features(spark, english, japanese)
     label = quality.weak_label(h[:, 1:])
     assert ((label < 0) | (label == h[:, 0])).mean() > 0.95
+
+
+ODD = ["a'b'c d'e f''g", "a\rb。\rc。 \r\n x", "。 。\n「あ」 ", " a. b", "", "  ", "it's I'm don't the", "１２３ 4 五。", "a.\x85b", "・一\n・二\n・三", "学校の 生徒　です。\n\n先生は、と言った」", "the and The AND", "ー々ヶぁゖ", "😀,；|\t>"]
+
+
+def test_statistics_of_both_ways_are_the_same(spark):
+    english, japanese = ["the", "and", "it"], ["学校", "学", "の", "です"]
+    df = spark.createDataFrame(list(enumerate(ODD)), "id bigint, text string")
+    rows = sorted(quality.text_statistics(df, "id", "text", english, japanese).collect(), key=lambda r: r.id)
+    made = quality.statistics(ODD, frozenset(english), japanese)
+    assert np.allclose(made, np.array([[float(r[c]) for c in quality.FEATURES[:8]] for r in rows]), atol=1.5e-6)
+    assert np.array_equal(made, np.concatenate([quality.statistics([t], frozenset(english), japanese) for t in ODD]))
+
+
+def test_shapes_do_not_depend_on_the_batch_and_read_long_texts_whole():
+    texts = [t for t in ODD if t.strip()] + ["あい。", "We walk and we talk to them. x"]
+    together = quality.shapes(texts)
+    assert np.allclose(together, np.concatenate([quality.shapes([t]) for t in texts]))
+    shape = dict(zip(quality.SHAPES, quality.shapes(["abc def、ghijk. あ\nいう"])[0]))
+    assert shape["longest_word"] == 5 and shape["hiragana_share"] == 3 / 14 and shape["delimiter_ratio"] == 0
+    # the grams of the second half differ from each other: a sample of every so many would not tell
+    long = "ab" * 75_000 + "".join(chr(0x4E00 + k % 20_000) for k in range(150_000))
+    grams = {long[k : k + 4] for k in range(len(long) - 3)}
+    assert dict(zip(quality.SHAPES, quality.shapes([long])[0]))["distinct_share"] == pytest.approx(len(grams) / (len(long) - 3), abs=1e-4)
