@@ -2,10 +2,14 @@ r"""Template residue, filler, error pages and script notices in place of content
 
 One grammar per delimiter family and one regular expression per kind of notice, all
 evaluated as JVM regular expressions inside the scan stage: no Python, no shuffle, one pass.
-Before they are tried, what a writer only mentions is taken out of the text: quoted words
-that are then spoken of (「404」と, "not found"という) and code blocks or spans. A
-placeholder in a text that explains code counts only where placeholders make up a good
-part of that text (MIN_TUTORIAL_DENSITY).
+Grammars have no bound on what stands between their delimiters. From each pattern follows by
+rule a set of literals of which every match holds one (`required`); a pattern is tried only
+on texts that hold one of its own, which most texts do not.
+
+Before patterns are tried, what a writer only mentions is taken out of the text: quoted
+words that are then spoken of (「404」と, "not found"という) and code blocks or spans. A
+placeholder in a sentence that explains templates counts only where placeholders make up a
+good part of that sentence (MIN_TUTORIAL_DENSITY); in the sentences around it, it counts.
 
 Nulls, empty and blank texts hold no residue and get an empty array of kinds. Repeated
 rows are judged alike. Texts are taken whole, however long.
@@ -14,6 +18,9 @@ rows are judged alike. Texts are taken whole, however long.
 from __future__ import annotations
 
 import re
+import re._parser as _sre
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,32 +38,34 @@ MIN_TUTORIAL_DENSITY = 0.2
 MENTIONED = "|".join(
     [
         r"(?s)```.*?(?:```|\z)",
-        r"`[^`\n]{1,200}`",
+        r"`[^`\n]+`",
         r"(?si)<(?:code|pre)>.*?</(?:code|pre)>",
-        r"""[「『"“][^「」『』"“”\n]{1,60}[」』"”](?=\s*(?:と|という|って|の題|を題|が出|の文字|の表示|で、))""",
-        r"""(?i)(?:titled|called|named|entitled|the words?|the phrase|the title|a sign saying|said)\s*["“'‘][^"”\n]{1,60}["”'’]""",
+        r"""[「『"“][^「」『』"“”\n]+[」』"”](?=\s*(?:と|という|って|の題|を題|が出|の文字|の表示|で、))""",
+        r"""(?i)(?:titled|called|named|entitled|the words?|the phrase|the title|a sign saying|said)\s*["“'‘][^"”\n]+["”'’]""",
     ]
 )
 
-#: Words of a text that explains templates or code.
-TUTORIAL = r"(?i)テンプレート|変数|構文|書き方|プログラム|コードを|タグを|差し込み印刷|template (?:engine|syntax)|placeholder (?:syntax|is)|for example,? write|variable named|in the code"
+#: Words of a sentence that explains templates or code.
+TUTORIAL = r"(?i)テンプレート|変数|構文|差し込み印刷|template (?:engine|syntax)|placeholder (?:syntax|is)|for example,? write|variable named|in the code"
+#: Where a sentence ends.
+SENTENCE = r"(?<=。)|(?<=[.!?])\s+|\n"
 
 PLACEHOLDERS = {
-    "double brace": r"\{\{[^{}\n]{0,80}\}\}",
-    "brace percent": r"\{%-?[^%{}\n]{1,100}%\}",
-    "angle percent": r"<%[=#-]?[^%<>\n]{1,100}%>",
-    "processing instruction": r"<\?(?:php|=)[^>\n]{0,160}\?>",
-    "dollar brace": r"[$#]\{\s*[A-Za-z_][\w.]{0,40}\s*\}",
-    "single brace": r"\{[A-Za-z_][A-Za-z0-9_]{1,40}\}",
-    "percent": r"%[A-Z][A-Z0-9_]{1,40}%",
-    "double at": r"@@[A-Za-z_]\w{0,40}@@",
-    "double underscore": r"__[A-Z][A-Z0-9_]{1,40}__",
-    "double bracket": r"\[\[[^\[\]\n]{1,40}\]\]",
+    "double brace": r"\{\{[^{}]*\}\}",
+    "brace percent": r"\{%-?[^%{}]+%\}",
+    "angle percent": r"<%[=#-]?[^%<>]+%>",
+    "processing instruction": r"(?s)<\?(?:php\b|=).*?(?:\?>|\z)",
+    "dollar brace": r"[$#]\{\s*[A-Za-z_][\w.]*\s*\}",
+    "single brace": r"\{[A-Za-z_][A-Za-z0-9_]+\}",
+    "percent": r"%[A-Z][A-Z0-9_]+%",
+    "double at": r"@@[A-Za-z_]\w*@@",
+    "double underscore": r"__[A-Z][A-Z0-9_]+__",
+    "double bracket": r"\[\[[^\[\]\n]+\]\]",
     "short code": r"\[/?[A-Za-z][\w-]*(?:\s+[\w-]+=(?:\"[^\"\n]*\"|'[^'\n]*'|[\w-]+))+\s*/?\]",
-    "double angle": r"<<[^<>\n]{1,40}>>|&lt;&lt;[^<>&\n]{1,40}&gt;&gt;|«[A-Za-z_぀-ヿ一-鿿 ]{2,30}»|≪[A-Za-z_぀-ヿ一-鿿 ]{2,30}≫",
-    "double hash": r"##[^#\n]{1,30}##",
-    "angle word": r"<[a-z]+(?:_[a-z]+)+>|(?<![\w/])<(?:name|title|year|month|date|school|principal|motto|body|content|message|author|address|class|club)>|&lt;[a-z][a-z_]{1,40}&gt;",
-    "instruction": r"[【［\[（(〔<＜][^【】［］\[\]（）()〔〕<>＜＞\n]{0,30}(?:を(?:入力|記入|記載|挿入|入れる|差し替え)(?:して(?:ください|下さい)?|のこと|予定)?|[がは](?:入り|はいり|入る)(?:ます|予定)?|未設定|未入力|未定義|未記入|未登録)[】］\]）)〕>＞]",
+    "double angle": r"<<[^<>\n]+>>|&lt;&lt;[^<>&\n]+&gt;&gt;|«[A-Za-z_぀-ヿ一-鿿 ]{2,}»|≪[A-Za-z_぀-ヿ一-鿿 ]{2,}≫",
+    "double hash": r"##[^#\n]+##",
+    "angle word": r"<[a-z]+(?:_[a-z]+)+>|(?<![\w/])<(?:name|title|year|month|date|school|principal|motto|body|content|message|author|address|class|club)>|&lt;[a-z][a-z_]+&gt;",
+    "instruction": r"[【［\[（(〔<＜][^【】［］\[\]（）()〔〕<>＜＞\n]*(?:を(?:入力|記入|記載|挿入|入れる|差し替え)(?:して(?:ください|下さい)?|のこと|予定)?|[がは](?:入り|はいり|入る)(?:ます|予定)?|未設定|未入力|未定義|未記入|未登録)[】］\]）)〕>＞]",
 }
 
 #: Words of which any English sentence of some length has one.
@@ -68,7 +77,7 @@ FILLER = {
     "pseudo Latin": r"(?i)lorem\s+ipsum|dolor\s+sit\s+amet|consectetur\s+adipi",
     "sentence of no language": rf"(?:^|[.。!?]\s*|\n\s*)[A-Z][a-z]+(?!(?i:[^.!?\n]*\b(?:{FUNCTION_WORDS})\b))(?:,? [a-z]+){{3,}}\.",
     "filler sentence": r"(?:テキスト|文章|本文|見出し|キャッチコピー|コメント)が(?:入り|はいり|入る)(?:ます)?|ここに(?:文章|本文|テキスト|文|タイトル|見出し|コメント)(?:が|を|[。.\s]|$)|見本文|ダミー(?:テキスト|原稿|文|コピー|データ|です)|※\s*(?:ダミー|仮)|仮の?(?:テキスト|文章|原稿|文です)|サンプル(?:文|テキスト|原稿)|原稿待ち|差し替えてください|正式な原稿|(?i:(?:text|content|your (?:name|text|message)|title) goes here|insert (?:text|your|the) |placeholder text|sample text|dummy text)",
-    "repeated character": r"([^\s\d.。・…—―ー~〜=_*-])\1{14,}",
+    "repeated character": r"(.)\1{14}(?<![\s\d.。・…—―ー~〜=_*-])",
     "repeated filler": r"(本文|文字|文章|テキスト|テスト|ダミー|サンプル|[a-z]{2,6})\1{3,}",
     "not written yet": r"(?:この|本|当|現在)[^。\n]{0,8}(?:ページ|コンテンツ|記事|サイト|コーナー)[はも][^。\n]{0,12}(?:準備中|作成中|工事中|制作中|編集中|公開予定|更新予定)|(?:^|\n)\s*[（(【\[]?(?:ただいま|現在)?(?:準備中|工事中|作成中|制作中)(?:です|[）)】\]。]|\s*$)|コンテンツは近日|近日(?:公開|掲載)(?:予定|します)|(?i:coming soon|under construction|this page is being|to be (?:announced|determined|added))",
     "bare mark": r"(?i)^\s*(?:tbd|tba|tbc|todo|fixme|n/a|null|nil|none|undefined|nan|test|テスト|未定|未入力|(?:x{3,}))\s*[.。]?\s*$",
@@ -90,8 +99,36 @@ SCRIPTS = {
 KINDS = {"placeholder": PLACEHOLDERS, "filler": FILLER, "error": ERRORS, "script": SCRIPTS}
 
 
-#: What has no three Latin letters in a row cannot match an alternative of Latin letters only.
-LATIN = r"[A-Za-z]{3}"
+def _best(sets: list[frozenset[str] | None]) -> frozenset[str] | None:
+    """Of several sets of which each has a literal of every match, the most telling."""
+    return max((x for x in sets if x), key=lambda x: (min(map(len, x)), -len(x)), default=None)
+
+
+def _required(tree) -> frozenset[str] | None:
+    found, run = [], ""
+    for op, value in [*tree, (None, None)]:
+        if op is _sre.LITERAL:
+            run += chr(value)
+            continue
+        if run:
+            found.append(frozenset([run]))
+            run = ""
+        if op is _sre.SUBPATTERN:
+            found.append(_required(value[3]))
+        elif op is _sre.BRANCH:
+            parts = [_required(x) for x in value[1]]
+            found.append(frozenset().union(*parts) if all(parts) else None)
+        elif op in (_sre.MAX_REPEAT, _sre.MIN_REPEAT) and value[0] > 0:
+            found.append(_required(value[2]))
+        elif op is _sre.IN and all(kind is _sre.LITERAL for kind, _ in value):
+            found.append(frozenset(chr(c) for _, c in value))
+    return _best(found)
+
+
+def required(pattern: str) -> frozenset[str] | None:
+    """Literals, in small letters, of which every match of a pattern holds one; None if there are none."""
+    found = _required(_sre.parse(pattern.replace(r"\z", r"\Z")))
+    return frozenset(x.lower() for x in found) if found else None
 
 
 def alternatives(pattern: str) -> list[str]:
@@ -116,14 +153,27 @@ def alternatives(pattern: str) -> list[str]:
     return [*out, flag + body[start:]]
 
 
-def _gated(said: Column, patterns: dict[str, str]) -> Column:
-    """Whether any pattern matches; alternatives that need Latin letters are tried only where there are some."""
-    every = [a for p in patterns.values() for a in alternatives(p)]
-    needs = [a for a in every if re.fullmatch(r"[\x00-\x7f]+", a) and re.search(r"[A-Za-z]{3}", re.sub(r"\\[a-zA-Z]|\(\?[a-z:]+", " ", a)) and not re.search(r"\[A-Z\]|\|\)\?|\\1", a)]
-    rest = [a for a in every if a not in needs]
-    join = lambda parts: "|".join(f"(?:{a})" for a in parts)
-    hit = said.rlike(join(rest)) if rest else F.lit(False)
-    return hit | (said.rlike(LATIN) & said.rlike(join(needs))) if needs else hit
+#: What has no three Latin letters in a row cannot match a pattern of Latin letters only.
+LATIN = r"[A-Za-z]{3}"
+
+
+def _any_of(said: Column, low: Column, patterns: list[str]) -> Column:
+    """Whether any pattern matches; each is tried behind the literals that it requires."""
+    hit = F.lit(False)
+    gated: dict[str, list[str]] = {}
+    for pattern in (a for p in patterns for a in ([p] if "\\1" in p else alternatives(p))):
+        literals = required(pattern)
+        if literals and min(map(len, literals)) > 1:
+            gated.setdefault("|".join(map(re.escape, sorted(literals))), []).append(pattern)
+        else:  # a sign or two as a gate; back references keep their own groups
+            one = [low.contains(x) for x in sorted(literals or ())]
+            gate = reduce(or_, one) if one else F.lit(True)
+            hit = hit | (gate & said.rlike(pattern))
+    if gated:
+        literals = sorted({x for p in gated.values() for a in p for x in required(a)})
+        least = [x for x in literals if not any(y != x and y in x for y in literals)]  # what holds a longer one holds it too
+        hit = hit | (reduce(or_, [low.contains(x) for x in least]) & said.rlike("|".join(f"(?:{a})" for p in gated.values() for a in p)))
+    return hit
 
 
 def spoken(text: Column) -> Column:
@@ -131,32 +181,30 @@ def spoken(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, WIDE, NARROW), MENTIONED, "◇")
 
 
+_ANY_PLACEHOLDER = "|".join(f"(?:{p})" for p in PLACEHOLDERS.values())
+
+
 def residue_kinds(text: Column) -> Column:
     """Sorted array of the kinds found: 'error', 'filler', 'placeholder', 'script'."""
 
-    def kinds(said: Column) -> Column:
-        hits = {kind: F.lit(False) for kind in KINDS}
-        delimited = said.rlike(DELIMITER)  # cheap, and false for most texts
-        for kind, patterns in KINDS.items():
-            if kind == "placeholder":
-                for pattern in patterns.values():
-                    hits[kind] = hits[kind] | (delimited & said.rlike(pattern))
-            else:
-                backward = {n: p for n, p in patterns.items() if "\\1" in p}  # back references keep their own groups
-                hits[kind] = _gated(said, {n: p for n, p in patterns.items() if n not in backward})
-                for pattern in backward.values():
-                    hits[kind] = hits[kind] | said.rlike(pattern)
-        hits["placeholder"] = hits["placeholder"] & ((~said.rlike(TUTORIAL)) | (placeholder_density(said) >= MIN_TUTORIAL_DENSITY))
+    def kinds(said: Column, low: Column) -> Column:
+        hits = {kind: _any_of(said, low, list(patterns.values())) for kind, patterns in KINDS.items() if kind not in ("placeholder", "filler")}
+        foreign = FILLER["sentence of no language"]
+        hits["filler"] = _any_of(said, low, [p for n, p in FILLER.items() if n != "sentence of no language"]) | (said.rlike(LATIN) & said.rlike(foreign))
+        meant = lambda s: s.rlike(_ANY_PLACEHOLDER) & (~s.rlike(TUTORIAL) | (placeholder_density(s) >= MIN_TUTORIAL_DENSITY))
+        found = said.rlike(DELIMITER) & said.rlike(_ANY_PLACEHOLDER)
+        hits["placeholder"] = found & (~said.rlike(TUTORIAL) | F.exists(F.split(said, SENTENCE), meant))
         return F.array_compact(F.array(*(F.when(hits[kind], F.lit(kind)) for kind in sorted(KINDS))))
 
     # bound as a lambda's variable, what is said is worked out once per row, not once per pattern
-    found = F.get(F.transform(F.array(spoken(text)), lambda said: kinds(said)), F.lit(0))
+    both = F.transform(F.array(spoken(text)), lambda said: F.struct(said.alias("said"), F.lower(said).alias("low")))
+    found = F.get(F.transform(both, lambda x: kinds(x.said, x.low)), F.lit(0))
     return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(found)
 
 
 def placeholder_density(said: Column) -> Column:
     """Share of the characters that stand in placeholders."""
-    rest = F.regexp_replace(said, "|".join(f"(?:{p})" for p in PLACEHOLDERS.values()), "")
+    rest = F.regexp_replace(said, _ANY_PLACEHOLDER, "")
     return F.when(F.length(said) > 0, 1 - F.length(rest) / F.length(said)).otherwise(0.0)
 
 

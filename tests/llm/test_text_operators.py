@@ -1,6 +1,7 @@
 """Residue, cut texts, wrong decoding and consistent forms on small hand-made cases."""
 
 import random
+import re
 import time
 import unicodedata
 
@@ -73,6 +74,21 @@ def test_what_is_spoken_of_is_no_residue(spark):
     assert kinds(spark, clean) == [[]] * len(clean)
 
 
+def test_grammars_have_no_bound_and_tutorials_end_with_their_sentence(spark):
+    long, kana = "".join(f"a{k}" for k in range(2000)), "".join(chr(0x3042 + k % 60) for k in range(300))
+    found = kinds(spark, [f"{{{{{long}}}}}", f"<?php echo $page->title;\n{long} ?>", f"【{kana}を入力してください】", f"「{kana}{{{{x}}}}」という文字を見た。", f"`{'a ' * 300}{{{{x}}}}` is code.", "国際プログラムの書き方を学びました。{{school_name}}の生徒です。", "テンプレートの構文では {{name}} のように変数を書く。\n担任は {{teacher}} です。", "{{title}}{{body}}{{name}}テンプレート"])
+    assert found == [["placeholder"], ["placeholder"], ["placeholder"], [], [], ["placeholder"], ["placeholder"], ["placeholder"]]
+
+
+def test_required_literals_stand_in_every_match():
+    assert residue.required(r"(?i)(?:Turn on|allow)\s+cookies?") == {"cookie"}
+    assert residue.required(r"a?b*") is None and residue.required(r"(?:ab|c*)x") == {"x"} and residue.required("[xy]+z?") == {"x", "y"}
+    for text, _ in RESIDUE:
+        for p in (a for patterns in residue.KINDS.values() for q in patterns.values() for a in ([q] if "\\1" in q else residue.alternatives(q))):
+            if re.search(p.replace(r"\z", r"\Z"), text) and residue.required(p):
+                assert any(x in text.lower() for x in residue.required(p)), (p, text)
+
+
 def test_residue_of_empty_tables_and_long_texts(spark):
     assert kinds(spark, []) == []
     assert kinds(spark, [PROSE * 20000 + "{{name}}", PROSE * 20000]) == [["placeholder"], []]
