@@ -34,7 +34,8 @@ from loomtable.llm.confusables import skeletons
 from loomtable.session import cut_lineage
 
 PARTS = ["core", "kind", "level", "town", "prefecture", "year", "operator", "pupils"]
-ITERATIONS = 25
+TOLERANCE = 1e-5  # change of any mean, deviation or weight at which EM has converged
+BUNDLES_PER_TASK = 50_000  # distinct bundles that a task goes over in a step of EM
 LEAST_CONFIDENCE = 0.5
 #: Priors: pseudo-counts of variance and weight.
 PRIOR_VARIANCE, PRIOR_COUNT = 0.03, 5.0
@@ -284,6 +285,10 @@ class Mixture:
         self.weight = 0.3
         self.mean = np.array([[0.8, 0.6, 0.6, 0.2, 0.3, 0.1, 0.3, 0.5], [0.95] * len(PARTS)])
         self.variance = np.full((2, len(PARTS)), 0.1)
+        self.steps = 0
+
+    def parameters(self) -> np.ndarray:
+        return np.r_[self.mean.ravel(), np.sqrt(self.variance).ravel(), self.weight]
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         there = ~np.isnan(x)
@@ -327,13 +332,14 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return x, claim
 
 
-def fitted(pairs: DataFrame, iterations: int = ITERATIONS) -> Mixture:
-    """The mixture fitted to all pairs."""
+def fitted(pairs: DataFrame) -> Mixture:
+    """The mixture fitted to all pairs, until EM has converged; `steps` tells after how many steps."""
     bundles = cut_lineage(
         pairs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*PARTS))).alias("bundle")).groupBy("bundle").agg(F.count("*").alias("n"))
     )
+    bundles = bundles.coalesce(max(1, bundles.count() // BUNDLES_PER_TASK))
     mixture = Mixture()
-    for _ in range(iterations):
+    while True:
 
         def step(batches: Iterator[pa.RecordBatch], m: Mixture = mixture) -> Iterator[pa.RecordBatch]:
             total = np.zeros((8, len(PARTS)))
@@ -343,14 +349,14 @@ def fitted(pairs: DataFrame, iterations: int = ITERATIONS) -> Mixture:
                     total += m.sums(x, claim, batch.column(1).to_numpy()[claim].astype(float))
             yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
 
-        parts = bundles.mapInArrow(step, "sums array<double>").collect()  # 56 numbers per partition
+        parts = bundles.mapInArrow(step, "sums array<double>").collect()  # 64 numbers per BUNDLES_PER_TASK bundles
         if not parts:
-            break
-        before = mixture.mean.copy()
+            return mixture
+        before = mixture.parameters()
         mixture.update(np.sum([r.sums for r in parts], 0).reshape(8, len(PARTS)))
-        if np.abs(mixture.mean - before).max() < 1e-5:
-            break
-    return mixture
+        mixture.steps += 1
+        if np.abs(mixture.parameters() - before).max() < TOLERANCE:
+            return mixture
 
 
 def matches(claims: DataFrame, key: str, name: str, snippet: str, master: DataFrame, least: float = LEAST_CONFIDENCE) -> DataFrame:

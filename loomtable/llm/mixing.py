@@ -7,11 +7,13 @@ either goes up to the next level. A source with a budget of k times its tokens a
 gets k whole epochs, and of one more epoch, shuffled by a seeded hash, the prefix whose
 tokens come nearest the rest.
 
-Scale: the tree has a node per source and is solved on the driver from one sum per source.
-The prefix is cut in two steps, so that no source is ever sorted as a whole: documents are
-summed by source and hash range, whole ranges are in or out, and only the documents of the
-range on which the cut falls are put in order. Ranges hold few documents however large the
-source, since their number grows with it.
+Scale: the tree has a node per source and is solved on the driver from one row per source,
+of at most MOST_SOURCES, which are counted before anything is sent to it or broadcast.
+The prefix is cut in steps, so that no source is ever sorted as a whole: documents are
+summed by source and hash range, ranges by span of RANGES_PER_SPAN; running sums go over the
+spans of a source and over the ranges of a span; whole ranges are in or out, and only the
+documents of the range on which the cut falls are put in order. Ranges hold few documents
+however large the source, since their number grows with it.
 
 Null and empty texts hold no tokens and are not in the mix. Sources without documents reach
 a share of 0, sources without a target are left out. Repeated documents count as documents.
@@ -25,7 +27,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DOCS_PER_RANGE = 2000
+DOCS_PER_RANGE, RANGES_PER_SPAN = 2000, 1024
+MOST_SOURCES = 100_000
 
 
 def domain_of(source: str) -> str:
@@ -88,17 +91,16 @@ def plan(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     docs(source, lang, n_tokens). total_tokens is by default all tokens of the listed
     sources, each document once. A source's language is the one most of its documents have.
     """
+    if targets.count() > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources are listed")
     listed = {r.source: (r.target_share or 0.0, r.max_repeats or 0) for r in targets.select("source", "target_share", "max_repeats").collect()}
-    rows = docs.join(targets.select("source"), "source", "left_semi").groupBy("source", "lang").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect()
-    tokens: dict[str, int] = defaultdict(int)
-    count: dict[str, int] = defaultdict(int)
-    spoken: dict[str, tuple[int, str]] = {}
-    for r in rows:
-        tokens[r.source] += r.t
-        count[r.source] += r.n
-        if r.lang:
-            spoken[r.source] = max(spoken.get(r.source, (0, "")), (r.n, r.lang))
-    language = lambda s: (languages or {}).get(s) or spoken.get(s, (0, "und"))[1]
+    known = docs.join(F.broadcast(targets.select("source").distinct()), "source", "left_semi")
+    spoken = known.groupBy("source", "lang").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
+    named = F.when(F.col("lang") != "", F.struct("n", "lang"))
+    rows = spoken.groupBy("source").agg(F.sum("t").alias("t"), F.sum("n").alias("n"), F.max(named).alias("most")).collect()  # a row per listed source
+    tokens, count = defaultdict(int, {r.source: r.t for r in rows}), defaultdict(int, {r.source: r.n for r in rows})
+    most = {r.source: r.most.lang for r in rows if r.most}
+    language = lambda s: (languages or {}).get(s) or most.get(s, "und")
     domain = lambda s: (domains or {}).get(s) or domain_of(s)
     leaves = {s: ((domain(s), language(s)), share, float(tokens[s] * repeats)) for s, (share, repeats) in listed.items()}
     given = budgets(float(total_tokens if total_tokens is not None else sum(tokens[s] for s in listed)), leaves)
@@ -123,12 +125,15 @@ def mixed(docs: DataFrame, targets: DataFrame, seed: int = 0, **options) -> tupl
     docs = docs.filter("n_tokens > 0")
     rows = plan(docs, targets, **options)
     ranges = max(1, math.ceil(max((r[4] for r in rows), default=1) / DOCS_PER_RANGE))
-    plan_df = F.broadcast(spark.createDataFrame(rows, _PLAN))  # a row per listed source
+    plan_df = F.broadcast(spark.createDataFrame(rows, _PLAN))  # a row per listed source, counted in plan()
     taken = docs.join(plan_df.select("source", "epochs", "rest"), "source").withColumn("place", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id")))
     taken = taken.withColumn("range", F.pmod(F.shiftrightunsigned("place", 33), F.lit(ranges)))
     sums = taken.groupBy("source", "range").agg(F.sum("n_tokens").alias("range_tokens"))
-    upto = Window.partitionBy("source").orderBy("range")
-    sums = sums.withColumn("before", F.sum("range_tokens").over(upto) - F.col("range_tokens"))
+    sums = sums.withColumn("span", F.floor(F.col("range") / RANGES_PER_SPAN))
+    spans = sums.groupBy("source", "span").agg(F.sum("range_tokens").alias("span_tokens"))
+    spans = spans.withColumn("earlier", F.sum("span_tokens").over(Window.partitionBy("source").orderBy("span")) - F.col("span_tokens"))
+    upto = Window.partitionBy("source", "span").orderBy("range")
+    sums = sums.join(spans.select("source", "span", "earlier"), ["source", "span"]).withColumn("before", F.col("earlier") + F.sum("range_tokens").over(upto) - F.col("range_tokens")).drop("span", "earlier")
     placed = taken.join(sums, ["source", "range"])
     inner = Window.partitionBy("source", "range").orderBy("place", "doc_id")
     cut = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("range_tokens") > F.col("rest"))

@@ -17,6 +17,7 @@ number of parts. One pass over the rows, no shuffle.
 from __future__ import annotations
 
 import base64
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-tokenizer's pattern of this vocabulary.
@@ -54,7 +56,17 @@ class Vocabulary:
 
 @lru_cache(4)
 def vocabulary(path: str = VOCABULARY) -> Vocabulary:
-    return Vocabulary(path)
+    """The vocabulary of a file; where a worker has no such path, of the copy that ship() sent it."""
+    return Vocabulary(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
+
+
+def ship(spark: SparkSession, path: str) -> None:
+    """Sends the driver's vocabulary file to the workers of the session, once per context."""
+    context = spark.sparkContext
+    sent = getattr(context, "_loomtable_files", set())
+    if path not in sent and os.path.exists(path):
+        context.addFile(path)
+        context._loomtable_files = sent | {path}
 
 
 @lru_cache(65536)
@@ -148,6 +160,7 @@ def decode_all(ids: list, path: str = VOCABULARY) -> list[str]:
 
 def encoded(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
     """(key, ids array<int>) of every row of df; key keeps its name and type."""
+    ship(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,6 +175,7 @@ def encoded(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataF
 
 def decoded(df: DataFrame, key: str, ids: str, path: str = VOCABULARY) -> DataFrame:
     """(key, text) of rows of ids; null ids give null."""
+    ship(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,6 +188,7 @@ def decoded(df: DataFrame, key: str, ids: str, path: str = VOCABULARY) -> DataFr
 
 def token_counts(df: DataFrame, keep: list[str], text: str, path: str = VOCABULARY) -> DataFrame:
     """The kept columns and n_tokens of every row; null and empty texts have none."""
+    ship(df.sparkSession, path)
     fields = [df.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
