@@ -1,15 +1,23 @@
 """Orphan references by bitmap algebra over (key range, period) cells.
 
-Keys are dictionary-encoded as integers; the references of a table in a period and the
-parents valid in it become bitmaps of 32,768 keys each. `references AND NOT parents` is
-taken range by range, and the surviving bits are decoded to keys and records. A parent
-that is valid for only part of a period stands in a second bitmap: references that hit it
-are settled by comparing times, record by record.
-
-Scale: what is shuffled is one row per distinct (table, period, key) and then one bitmap
-per (table, period, key range), however often a key is referenced, so a key that a third
-of all rows refer to weighs as much as any other. Nothing is collected but the first and
-last period.
+Keys are dictionary-encoded as integers, 32,768 keys to a range. The references of a table
+in a period are a bitmap per range; of the parents there is a bitmap of those that begin in
+a period and one of those that end in it, so a parent counts twice however long it exists.
+A walk over the periods of a range keeps the running `begun` and `ended` bitmaps, in
+compressed containers, and takes
+
+    there all through = begun before AND NOT ended up to now
+    there in part     = begun up to now AND NOT ended before, AND NOT there all through
+    orphans           = references AND NOT (all through OR in part)
+
+Surviving bits are decoded to keys and records. References that hit a parent which is there
+in part of their period are settled by comparing times, record by record. Parents with
+several spans stand in several layers, one span each, that are united.
+
+Scale: what is shuffled is one row per distinct (table, period, key) and two per span of a
+parent, however often a key is referenced, so a key that a third of all rows refer to weighs
+as much as any other. A walk holds the containers of one range. Surviving keys meet the
+records by measured size (join_few). Nothing is collected.
 """
 
 from __future__ import annotations
@@ -18,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtable.functions.keys import comparable_id
+from loomtable.operators.skew import join_few
 from loomtable.session import cut_lineage, shuffle_width
 
 NO_TIME = "(none)"
@@ -30,21 +39,20 @@ _MONTH = r"^\d{4}-(0[1-9]|1[0-2])"
 _RANGE_BITS = 32768  # keys of one bitmap of Spark's bitmap_construct_agg
 
 
-def pack_bits(bits: bytes) -> bytes:
+def pack_bits(flags: np.ndarray) -> bytes:
     """A bitmap as the smallest of three containers: sorted positions, runs, or plain bits."""
-    flags = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
     positions = np.flatnonzero(flags).astype(np.uint16)
     if positions.size == 0:
         return b"a"
     breaks = np.flatnonzero(np.diff(positions.astype(np.int32)) != 1)
     starts = positions[np.r_[0, breaks + 1]]
     ends = positions[np.r_[breaks, positions.size - 1]]
-    best = min((positions.size * 2, b"a"), (starts.size * 4, b"r"), (len(bits), b"b"))[1]
+    best = min((positions.size * 2, b"a"), (starts.size * 4, b"r"), (_RANGE_BITS // 8, b"b"))[1]
     if best == b"a":
         return best + positions.tobytes()
     if best == b"r":
         return best + np.stack([starts, ends], 1).tobytes()
-    return best + bytes(bits)
+    return best + np.packbits(flags, bitorder="little").tobytes()
 
 
 def unpack_bits(packed: bytes | None) -> np.ndarray:
@@ -62,43 +70,88 @@ def unpack_bits(packed: bytes | None) -> np.ndarray:
         np.add.at(steps, runs[:, 1] + 1, -1)
         flags = np.cumsum(steps[:-1]) > 0
     else:
-        raw = np.unpackbits(np.frombuffer(body, np.uint8), bitorder="little")
-        flags[: raw.size] = raw.astype(bool)
+        flags = np.unpackbits(np.frombuffer(body, np.uint8), bitorder="little").astype(bool)
     return flags
 
 
-def _pack(names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [
-                pa.array([None if v is None else pack_bits(v) for v in column.to_pylist()], pa.binary()) if field.name in names else column
-                for field, column in zip(batch.schema, batch.columns)
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return run
+#: What a row of a walk says of its key, in the order in which a period takes them.
+EVER, VAGUE, BEGINS, ENDS, REFERS = range(5)
+_EVENTS = "key_range bigint, period string, kind int, layer int, table_name string, bit int"
+
+
+class _Walk:
+    """The algebra of one key range, period by period."""
+
+    def __init__(self, key_range: int):
+        self.key_range = key_range
+        self.ever, self.vague = b"a", b"a"
+        self.layers: dict[int, tuple[bytes, bytes]] = {}
+
+    def take(self, period: str, kind: np.ndarray, layer: np.ndarray, table: np.ndarray, bit: np.ndarray) -> list[tuple[str, str, np.ndarray, bool]]:
+        """(table, period, key ids, whether surely orphans) of a period's references."""
+
+        def flags(of: int, at: int | None = None, start: bytes = b"a") -> np.ndarray:
+            out = unpack_bits(start)
+            out[bit[(kind == of) & (layer == at)] if at is not None else bit[kind == of]] = True
+            return out
+
+        if (kind == EVER).any():
+            self.ever = pack_bits(flags(EVER, start=self.ever))
+        if (kind == VAGUE).any():
+            self.vague = pack_bits(flags(VAGUE, start=self.vague))
+        whole, there = np.zeros(_RANGE_BITS, bool), unpack_bits(self.vague)
+        if period == NO_TIME:
+            whole = unpack_bits(self.ever)
+        elif period == ODD_TIME:
+            there = unpack_bits(self.ever)
+        else:
+            changed = set(layer[(kind == BEGINS) | (kind == ENDS)].tolist())
+            for at in self.layers.keys() | changed:
+                begun, ended = (unpack_bits(x) for x in self.layers.get(at, (b"a", b"a")))
+                begun_now, ended_now = (flags(BEGINS, at) | begun, flags(ENDS, at) | ended) if at in changed else (begun, ended)
+                whole |= begun & ~ended_now
+                there |= begun_now & ~ended
+                if at in changed:
+                    self.layers[at] = pack_bits(begun_now), pack_bits(ended_now)
+        out = []
+        for name in np.unique(table[kind == REFERS]):
+            refs = np.unique(bit[(kind == REFERS) & (table == name)])  # the positions of a container
+            first = (self.key_range - 1) * _RANGE_BITS
+            out += [(str(name), period, refs[pick] + first, sure) for pick, sure in ((~(whole | there)[refs], True), ((there & ~whole)[refs], False)) if pick.any()]
+        return out
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bits of `refs AND NOT (whole OR part)` as sure orphans, of `refs AND part AND NOT whole` as open ones."""
+    """Rows (table_name, period, key_id, sure) from events sorted by key range and period; ranges are not split."""
+    walk: _Walk | None = None
+    held: list[tuple] = []
+    at: tuple | None = None
+
+    def close() -> list[pa.RecordBatch]:
+        nonlocal walk
+        if at is None:
+            return []
+        if walk is None or walk.key_range != at[0]:
+            walk = _Walk(at[0])
+        found = walk.take(at[1], *(np.concatenate(c) for c in zip(*held)))
+        return [
+            pa.RecordBatch.from_arrays([pa.array([t] * ids.size, pa.string()), pa.array([p] * ids.size, pa.string()), pa.array(ids, pa.int64()), pa.array([sure] * ids.size, pa.bool_())], names=["table_name", "period", "key_id", "sure"])
+            for t, p, ids, sure in found
+        ]
+
     for batch in batches:
-        at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        for k in range(batch.num_rows):
-            refs, whole, part = (unpack_bits(at[n][k].as_py()) for n in ("refs", "whole", "part"))
-            sure = np.flatnonzero(refs & ~(whole | part))
-            unsure = np.flatnonzero(refs & part & ~whole)
-            found = np.concatenate([sure, unsure])
-            if found.size:
-                first = (at["key_range"][k].as_py() - 1) * _RANGE_BITS
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([at["table_name"][k].as_py()] * found.size, pa.string()),
-                        pa.array([at["period"][k].as_py()] * found.size, pa.string()),
-                        pa.array(found + first, pa.int64()),
-                        pa.array(np.r_[np.ones(sure.size, bool), np.zeros(unsure.size, bool)]),
-                    ],
-                    names=["table_name", "period", "key_id", "sure"],
-                )
+        if not batch.num_rows:
+            continue
+        ranges, periods = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), object)
+        rest = [batch.column(k).to_numpy() for k in (2, 3)] + [np.array([x or "" for x in batch.column(4).to_pylist()], object), batch.column(5).to_numpy().astype(np.int64)]
+        cuts = np.flatnonzero((ranges[1:] != ranges[:-1]) | (periods[1:] != periods[:-1])) + 1
+        for i, j in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
+            now = (int(ranges[i]), periods[i])
+            if now != at:
+                yield from close()
+                at, held = now, []
+            held.append(tuple(c[i:j] for c in rest))
+    yield from close()
 
 
 def _period(at: Column) -> Column:
@@ -134,10 +187,25 @@ def encode_keys(keys: DataFrame) -> DataFrame:
     )
 
 
-def _construct(df: DataFrame, by: list[str], flags: dict[str, str]) -> DataFrame:
-    df = df.withColumn("key_range", F.expr("bitmap_bucket_number(key_id + 1)")).withColumn("bit", F.expr("bitmap_bit_position(key_id + 1)"))
-    made = df.groupBy(*by, "key_range").agg(*(F.expr(f"bitmap_construct_agg(bit) FILTER (WHERE {test})").alias(name) for name, test in flags.items()))
-    return made.mapInArrow(_pack(list(flags)), made.schema)
+def _events(cells: DataFrame, spans: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the walks: references, and begins and ends of spans, a layer for each span of a key."""
+    layered = spans.withColumn("layer", F.row_number().over(Window.partitionBy("key").orderBy("valid_from", "valid_to")) - 1)
+    regular = lambda c: F.col(c).isNull() | F.col(c).rlike(_MONTH)
+    month = lambda c: F.substring(c, 1, 7)
+    event = lambda kind, period, when=None: F.when(F.lit(True) if when is None else when, F.struct(F.lit(kind).alias("kind"), period.alias("period")))
+    plain = regular("valid_from") & regular("valid_to")
+    of_span = F.array_compact(
+        F.array(
+            event(EVER, F.lit("")),
+            event(VAGUE, F.lit(""), ~plain),  # a bound that is no time leaves all to the comparison of times
+            event(BEGINS, F.coalesce(month("valid_from"), F.lit("")), plain),
+            event(ENDS, month("valid_to"), plain & F.col("valid_to").isNotNull()),
+        )
+    )
+    parents = layered.select("key", "layer", F.explode(of_span).alias("e")).select("key", "e.period", "e.kind", "layer", F.lit(None).cast("string").alias("table_name"))
+    asked = cells.select("key", "period", F.lit(REFERS).alias("kind"), F.lit(0).alias("layer"), "table_name")
+    rows = asked.unionByName(parents).join(ids, "key")
+    return rows.select(F.expr("bitmap_bucket_number(key_id + 1)").alias("key_range"), "period", "kind", "layer", "table_name", F.expr("bitmap_bit_position(key_id + 1)").cast("int").alias("bit"))
 
 
 def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -149,54 +217,22 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
     `at` needs only a parent with any span. Result: refs' columns and `reason`
     ('unknown', 'too_early' or 'removed'). Empty refs give no row, empty parents give all.
     """
-    spans = (
+    spans = cut_lineage(
         parents.select(comparable_id(F.col("key")).alias("key"), F.col("valid_from").cast("string"), F.col("valid_to").cast("string"))
         .filter(F.col("key").isNotNull())
         .distinct()
     )
     cells = cut_lineage(refs.select("table_name", "period", "key").distinct())
-    first, last = cells.filter(F.col("period").rlike(_MONTH)).agg(F.min("period"), F.max("period")).first()
-    first, last = first or "2000-01", last or "2000-01"
     ids = encode_keys(cells.select("key").union(spans.select("key")))
-
-    def month(c: Column, otherwise: str) -> Column:  # within the months that are asked about
-        inside = F.greatest(F.least(F.substring(c, 1, 7), F.lit(last)), F.lit(first))
-        return F.when(c.rlike(_MONTH), inside).otherwise(F.lit(otherwise))
-
-    valid = spans.filter(F.coalesce(F.substring("valid_from", 1, 7) <= last, F.lit(True)) & F.coalesce(F.substring("valid_to", 1, 7) >= first, F.lit(True)))
-    monthly = valid.withColumn(
-        "period",
-        F.explode(
-            F.when(
-                month(F.col("valid_from"), first) <= month(F.col("valid_to"), last),
-                F.sequence(
-                    F.to_date(F.concat(month(F.col("valid_from"), first), F.lit("-01"))),
-                    F.to_date(F.concat(month(F.col("valid_to"), last), F.lit("-01"))),
-                    F.expr("interval 1 month"),
-                ),
-            )
-        ),
-    ).withColumn("period", F.date_format("period", "yyyy-MM"))
-    whole = F.coalesce((F.substring("valid_from", 1, 7) < F.col("period")) & F.col("valid_from").rlike(_MONTH), F.col("valid_from").isNull()) & F.coalesce(
-        (F.substring("valid_to", 1, 7) > F.col("period")) & F.col("valid_to").rlike(_MONTH), F.col("valid_to").isNull()
-    )
-    timeless = spans.select("key").distinct()
-    parent_cells = (
-        monthly.select("key", "period", whole.alias("is_whole"))
-        .unionByName(timeless.select("key", F.lit(NO_TIME).alias("period"), F.lit(True).alias("is_whole")))
-        .unionByName(timeless.select("key", F.lit(ODD_TIME).alias("period"), F.lit(False).alias("is_whole")))
-    )
-
-    ref_bits = _construct(cells.join(ids, "key"), ["table_name", "period"], {"refs": "true"})
-    parent_bits = _construct(parent_cells.join(ids, "key"), ["period"], {"whole": "is_whole", "part": "NOT is_whole"})
-    left = (
-        ref_bits.join(parent_bits, ["period", "key_range"], "left")
-        .mapInArrow(_survivors, "table_name string, period string, key_id bigint, sure boolean")
+    walks = _events(cells, spans, ids).repartition("key_range").sortWithinPartitions("key_range", "period", "kind")
+    bounds = spans.groupBy("key").agg(F.min(F.coalesce("valid_from", F.lit(""))).alias("first_from"))
+    left = cut_lineage(
+        walks.mapInArrow(_survivors, "table_name string, period string, key_id bigint, sure boolean")
         .join(ids, "key_id")
-        .select("table_name", "period", "key", "sure")
+        .join(bounds, "key", "left")
+        .select("table_name", "period", "key", "sure", "first_from")
     )
-    hit = refs.join(left, ["table_name", "period", "key"])
-    bounds = spans.groupBy("key").agg(F.min(F.coalesce("valid_from", F.lit(""))).alias("first_from"))
+    hit = join_few(refs, left, ["table_name", "period", "key"], "record_id")
     covered = spans.select(F.col("key").alias("span_key"), "valid_from", "valid_to")
     open_refs = hit.filter(~F.col("sure")).join(
         covered,
@@ -205,12 +241,9 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
         & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))),
         "left_anti",
     )
-    orphans = hit.filter("sure").unionByName(open_refs).drop("sure")
-    return (
-        orphans.join(bounds, "key", "left")
-        .withColumn("reason", F.when(F.col("first_from").isNull(), "unknown").when(F.col("at") < F.col("first_from"), "too_early").otherwise("removed"))
-        .select("table_name", "record_id", "key", "at", "period", "reason")
-    )
+    orphans = hit.filter("sure").unionByName(open_refs)
+    reason = F.when(F.col("first_from").isNull(), "unknown").when(F.col("at") < F.col("first_from"), "too_early").otherwise("removed")
+    return orphans.select("table_name", "record_id", "key", "at", "period", reason.alias("reason"))
 
 
 def orphan_report(refs: DataFrame, orphans: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def test_containers_hold_what_was_put_in(positions):
 
     flags = np.zeros(32768, bool)
     flags[positions] = True
-    packed = pack_bits(np.packbits(flags, bitorder="little").tobytes())
+    packed = pack_bits(flags)
     assert (unpack_bits(packed) == flags).all()
     assert len(packed) <= 4097
     assert not unpack_bits(None).any()
@@ -76,6 +76,25 @@ def test_random_spans_against_brute_force(spark):
     assert [x for x, _ in found(spark, r, p)] == want
 
 
+def test_spans_that_are_no_times_and_begin_anew(spark):
+    p = [("k", "2024-01-05", "2024-03-02"), ("k", "2024-03-20", None), ("odd", "early", None), ("odd2", None, "soon"), ("back", "2024-05-01", "2024-02-01")]
+    r = [(1, "k", "2024-02-10"), (2, "k", "2024-03-10"), (3, "k", "2024-03-25"), (4, "k", "2026-01-01"), (5, "k", "2023-12-31"), (6, "odd", "2024-01-01"), (7, "odd", "later"), (8, "odd2", "2024-01-01"), (9, "odd2", "z"), (10, "back", "2024-03-03"), (11, "back", None)]
+    want = [i for i, k, t in r if not any(k == pk and (t is None or (a is None or t >= a) and (b is None or t < b)) for pk, a, b in p)]
+    assert [x for x, _ in found(spark, r, p)] == want == [2, 5, 6, 9, 10]
+
+
+def test_walks_go_on_across_batches(spark):
+    rng = random.Random(9)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        p = [(f"k{i}", f"20{rng.randint(10, 24)}-{rng.randint(1, 12):02d}-05", None if i % 3 else f"20{rng.randint(15, 25)}-01-20") for i in range(60)]
+        r = [(i, f"k{rng.randint(0, 70)}", f"20{rng.randint(9, 25):02d}-{rng.randint(1, 12):02d}-10") for i in range(500)]
+        want = [i for i, k, t in r if not any(k == pk and t >= a and (b is None or t < b) for pk, a, b in p)]
+        assert [x for x, _ in found(spark, r, p)] == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_report(spark):
     rr = refs(spark, [(1, "x", "2024-01-02 00:00:00"), (2, "y", "2024-01-03 00:00:00"), (3, "y", None)])
     report = {(x.period): x for x in orphan_report(rr, orphan_references(rr, parents(spark, [("x", None, None)]))).collect()}
