@@ -232,7 +232,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
         .join(bounds, "key", "left")
         .select("table_name", "period", "key", "sure", "first_from")
     )
-    hit = join_few(refs, left, ["table_name", "period", "key"], "record_id")
+    hit = cut_lineage(join_few(refs, left, ["table_name", "period", "key"], "record_id"))  # read once, and few
     covered = spans.select(F.col("key").alias("span_key"), "valid_from", "valid_to")
     open_refs = hit.filter(~F.col("sure")).join(
         covered,
