@@ -29,6 +29,19 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[
     return mark_duplicates(fresh, list(key), order).filter("NOT is_duplicate").drop("is_duplicate")
 
 
+def new_by_keys_in_turn(batch: DataFrame, existing: DataFrame, keys: list[list[str]], order: list[ColumnOrName]) -> DataFrame:
+    """Rows of a batch that are new by the first key, of these those that are new by the next, and so on.
+
+    A row with a null in a key is new by it, as a row without an address is by its address.
+    """
+    for key in keys:
+        whole = F.lit(True)
+        for k in key:
+            whole = whole & F.col(k).isNotNull()
+        batch = batch.filter(~whole).unionByName(new_rows(batch.filter(whole), existing, key, order))
+    return batch
+
+
 BLOCK_ROWS = 200
 
 

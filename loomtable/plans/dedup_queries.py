@@ -41,6 +41,60 @@ def dedup_exact_normalised(spark, folder):
     return D.mark_duplicates(rows, ["school_id", "plain"], ["record_id"]).filter("NOT is_duplicate").select("record_id")
 
 
+_BLANK_FREE = "regexp_replace(quote_text, '[\\s\\x{3000}]+', '', 'g')"
+
+
+def _blank_free(text: str):
+    return F.regexp_replace(text, r"[\s\x{3000}]+", "")
+
+
+@query("dedup_blank_free_head", f"SELECT record_id, row_number() OVER (PARTITION BY substr({_BLANK_FREE}, 1, 80) ORDER BY record_id) > 1 AS is_duplicate FROM team_c_llm_students WHERE quote_text IS NOT NULL")
+def dedup_blank_free_head(spark, folder):
+    """The first 80 characters without blanks, over all schools."""
+    rows = table(spark, folder, "team_c_llm_students").filter("quote_text IS NOT NULL").withColumn("head", F.substring(_blank_free("quote_text"), 1, 80))
+    return D.mark_duplicates(rows, ["head"], ["record_id"]).select("record_id", "is_duplicate")
+
+
+@query(
+    "dedup_head50_against_stored",
+    f"WITH k AS (SELECT record_id, school_id, substr({_BLANK_FREE}, 1, 50) AS head, 'new' AS part FROM team_c_llm_students UNION ALL SELECT record_id, school_id, substr({_BLANK_FREE}, 1, 50), 'old' FROM team_b2_students) "
+    "SELECT record_id FROM (SELECT *, row_number() OVER (PARTITION BY school_id, head ORDER BY record_id) AS r FROM k WHERE part = 'new') n WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM k o WHERE o.part = 'old' AND o.school_id IS NOT DISTINCT FROM n.school_id AND o.head IS NOT DISTINCT FROM n.head)",
+)
+def dedup_head50_against_stored(spark, folder):
+    """New quotes whose first 50 characters without blanks neither a stored quote of the school has nor an earlier new one."""
+    heads = lambda t: table(spark, folder, t).select("record_id", "school_id", F.substring(_blank_free("quote_text"), 1, 50).alias("head"))
+    return D.new_rows(heads("team_c_llm_students"), heads("team_b2_students"), ["school_id", "head"], ["record_id"]).select("record_id")
+
+
+@query(
+    "dedup_address_then_text",
+    "WITH s AS (SELECT source_url, substr(quote_text, 1, 80) AS head FROM team_b2_students), n AS (SELECT record_id, source_url, substr(quote_text, 1, 80) AS head FROM team_c_llm_students), "
+    "a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coalesce(source_url, CAST(record_id AS VARCHAR)) ORDER BY record_id) AS r FROM n) WHERE r = 1 AND (source_url IS NULL OR source_url NOT IN (SELECT source_url FROM s WHERE source_url IS NOT NULL))), "
+    "b AS (SELECT *, row_number() OVER (PARTITION BY head ORDER BY record_id) AS q FROM a WHERE head NOT IN (SELECT head FROM s WHERE head IS NOT NULL)) SELECT record_id FROM b WHERE q = 1",
+)
+def dedup_address_then_text(spark, folder):
+    """New rows whose address is neither stored nor earlier in the batch (rows without one pass), of these those whose head is not."""
+    heads = lambda t: table(spark, folder, t).select("record_id", "source_url", F.substring("quote_text", 1, 80).alias("head"))
+    stored, new = heads("team_b2_students"), heads("team_c_llm_students").filter("head IS NOT NULL")
+    return D.new_by_keys_in_turn(new, stored, [["source_url"], ["head"]], ["record_id"]).select("record_id")
+
+
+@query("dedup_person_school_type", "SELECT record_id FROM (SELECT record_id, row_number() OVER (PARTITION BY gf_person_id, matched_school_name, match_type ORDER BY record_id) AS r FROM team_c1_gf WHERE matched_school_name IS NOT NULL) WHERE r = 1")
+def dedup_person_school_type(spark, folder):
+    """The first claim of each person, school and kind of match."""
+    claims = table(spark, folder, "team_c1_gf").filter("matched_school_name IS NOT NULL")
+    return D.mark_duplicates(claims, ["gf_person_id", "matched_school_name", "match_type"], ["record_id"]).filter("NOT is_duplicate").select("record_id")
+
+
+@query("dedup_exact_nfkc")
+def dedup_exact_nfkc(spark, folder):
+    """The first quote of each school and compatibility form in lower case."""
+    from loomtable.functions.text import nfkc
+
+    rows = table(spark, folder, "team_c_llm_principal_round4").withColumn("plain", F.lower(nfkc("quote_text")))
+    return D.mark_duplicates(rows, ["school_id", "plain"], ["record_id"]).filter("NOT is_duplicate").select("record_id")
+
+
 @query("dedup_keep_longest", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, substr(text, 1, 80) ORDER BY length(text) DESC, doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1")
 def dedup_keep_longest(spark, folder):
     from loomtable.operators.windows import keep_longest
@@ -85,7 +139,10 @@ def source_find_or_create(spark, folder):
     return find_or_create(asked, stored, "record_id", "src_", 6).select("record_id", "source_id", "is_new")
 
 
-@query("dedup_contained_heads")
+@query(
+    "dedup_contained_heads",
+    "SELECT DISTINCT b.record_id FROM team_b2_students a JOIN team_b2_students b ON a.school_id IS NOT DISTINCT FROM b.school_id AND a.record_id < b.record_id WHERE length(a.quote_text) > 0 AND length(b.quote_text) > 0 AND (contains(a.quote_text, substr(b.quote_text, 1, 80)) OR contains(b.quote_text, substr(a.quote_text, 1, 80)))",
+)
 def dedup_contained_heads(spark, folder):
     """Quotes whose first 80 characters stand in an earlier quote of the school, or that hold the first 80 of one."""
     return D.contained_heads(table(spark, folder, "team_b2_students"), "school_id", "record_id", "quote_text").withColumnRenamed("id", "record_id")
@@ -140,7 +197,18 @@ def context_match(spark, folder):
     return table(spark, folder, "team_c1_gf").filter(good).select("record_id")
 
 
-@query("resolve_names")
+_SUFFIX = "regexp_replace({0}, '(?:中学校|中等部|中等教育学校)$', '')"
+
+
+@query(
+    "resolve_names",
+    "WITH c AS (SELECT record_id, list_concat([matched_school_name], regexp_split_to_array(matched_school_name, '[、,/／・|\s]+')) AS parts FROM team_c1_gf WHERE matched_school_name IS NOT NULL), "
+    f"p AS (SELECT record_id, pos, part, {_SUFFIX.format('part')} AS bare FROM (SELECT record_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c) WHERE length(part) >= 2), "
+    f"k AS (SELECT DISTINCT id, name_ja AS known, {_SUFFIX.format('name_ja')} AS kb FROM schools_v2), top AS (SELECT known, max(id) AS id FROM k GROUP BY 1), asked AS (SELECT DISTINCT part, bare FROM p), "
+    "m AS (SELECT part, arg_max(known, (length(known), known)) AS known FROM asked JOIN (SELECT DISTINCT known FROM k) ON contains(part, known) OR contains(known, part) OR (length(bare) >= 2 AND contains(known, bare)) GROUP BY 1), "
+    "e AS (SELECT record_id, pos, id, known, 1 AS tier FROM p JOIN k ON part = known UNION ALL SELECT record_id, pos, id, known, 2 FROM p JOIN k ON bare = kb WHERE length(bare) >= 2 UNION ALL SELECT record_id, pos, id, m.known, 3 FROM p JOIN m USING (part) JOIN top ON top.known = m.known) "
+    "SELECT record_id, id AS school_id, tier FROM e QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY tier, pos, length(known) DESC, known DESC, id DESC) = 1",
+)
 def resolve_names(spark, folder):
     """Schools of claims by exact, suffix-free and contained names."""
     claims = table(spark, folder, "team_c1_gf").filter("matched_school_name IS NOT NULL")

@@ -91,12 +91,12 @@ def page_blocks(spark, folder):
     return X.blocks(_pages(spark, folder), "id", "html")
 
 
-@query("inner_elements")
+@query("inner_elements", " UNION ALL ".join(f"SELECT id, {_STRIP} AS body FROM (SELECT id, unnest(regexp_extract_all(html, '(?is)<{t}(?:\\s[^>]*)?>([^<]*)</{t}>', 1)) AS html FROM ({_PAGES}))" for t in ("style", "h1", "p")))
 def inner_elements(spark, folder):
     return _pages(spark, folder).select("id", F.explode(X.any_element(F.col("html"))).alias("body"))
 
 
-@query("linked_data")
+@query("linked_data", "SELECT record_id, 'Review' AS kind, coalesce(speaker_role, '') AS name, quote_text AS body FROM team_b2_students WHERE quote_text <> '' AND NOT contains(quote_text, '</script>')")
 def linked_data(spark, folder):
     q = table(spark, folder, "team_b2_students").filter("quote_text IS NOT NULL")
     body = F.to_json(F.struct(F.lit("Review").alias("@type"), F.col("speaker_role").alias("name"), F.col("quote_text").alias("reviewBody")))
@@ -104,15 +104,15 @@ def linked_data(spark, folder):
     return X.linked_data(q.select("record_id", html.alias("html")), "record_id", "html")
 
 
-@query("dossier_statements")
+@query("dossier_statements", "SELECT record_id, school_id AS entity, CAST(record_id AS INTEGER) AS number, speaker_role AS speaker, '' AS theme, coalesce(source_url, '-') AS source, trim(regexp_replace(quote_text, '[\\s\\x{3000}]+', ' ', 'g')) AS quote FROM team_b2_students WHERE quote_text IS NOT NULL AND school_id IS NOT NULL AND speaker_role IS NOT NULL AND length(trim(regexp_replace(quote_text, '[\\s\\x{3000}]+', ' ', 'g'))) >= 2")
 def dossier_statements(spark, folder):
     """Quotes of each school written as a dossier and read back."""
     q = table(spark, folder, "team_b2_students").filter("quote_text IS NOT NULL AND school_id IS NOT NULL")
-    text = F.concat(F.lit("# "), "school_id", F.lit("\n\n### #"), F.col("record_id").cast("string"), F.lit("\n- speaker: "), "speaker_role", F.lit("\n- source: "), F.coalesce("source_url", F.lit("-")), F.lit("\n\n> "), F.regexp_replace("quote_text", r"\s+", " "))
+    text = F.concat(F.lit("# "), "school_id", F.lit("\n\n### #"), F.col("record_id").cast("string"), F.lit("\n- speaker: "), "speaker_role", F.lit("\n- source: "), F.coalesce("source_url", F.lit("-")), F.lit("\n\n> "), F.regexp_replace("quote_text", r"[\s\x{3000}]+", " "))
     return X.statements(q.select("record_id", text.alias("text")), "record_id", "text")
 
 
-@query("wiki_items")
+@query("wiki_items", "SELECT record_id, 0 AS pos, 3 AS level, '出身者 / ' || category AS section, name, regexp_replace(regexp_replace(split_part(coalesce(evidence_text, ''), chr(10), 1), '^[\\s\\x{3000}\\-–—:：（(]+', ''), '[\\s\\x{3000}）)]+$', '') AS description FROM team_c1_gf WHERE name IS NOT NULL AND category IS NOT NULL")
 def wiki_items(spark, folder):
     g = table(spark, folder, "team_c1_gf").filter("name IS NOT NULL")
     text = F.concat(F.lit("== 出身者 ==\n=== "), "category", F.lit(" ===\n* [["), "name", F.lit("]] - "), F.coalesce("evidence_text", F.lit("")))
@@ -124,7 +124,7 @@ def calendar_events(spark, folder):
     return X.events(table(spark, folder, "documents").filter("text IS NOT NULL"), "doc_id", "text")
 
 
-@query("insert_values")
+@query("insert_values", "SELECT row_id, 0 AS \"row\", 0 AS col, CAST(row_id AS VARCHAR) AS value FROM schools_v2 UNION ALL SELECT row_id, 0, 1, coalesce(name_ja, '') FROM schools_v2 UNION ALL SELECT row_id, 0, 2, NULL FROM schools_v2")
 def insert_values(spark, folder):
     """Rows written as INSERT statements and taken apart again."""
     s = table(spark, folder, "schools_v2")
