@@ -153,6 +153,149 @@ def blocks(df: DataFrame, key: str, html: str) -> DataFrame:
     return _emit(df, key, html, "pos int, tag string, heading string, body string", parse_blocks)
 
 
+class _Node:
+    """An element with its children and texts in order."""
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.parts: list[_Node | str] = []
+
+    def walk(self) -> Iterator[_Node]:
+        stack: list[_Node] = [self]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack += [x for x in reversed(node.parts) if isinstance(x, _Node)]
+
+    def text(self) -> str:
+        out, stack = [], [self]
+        while stack:
+            x = stack.pop()
+            if isinstance(x, str):
+                out.append(x)
+            else:
+                stack += reversed([*x.parts, " "] if x.tag in _BLOCKS or x.tag == "br" else x.parts)
+        return re.sub(r"\s+", " ", "".join(out)).strip()
+
+
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Classes and ids of what frames a page, and of what it is about.
+_FRAME = re.compile(r"breadcrumb|pankuzu|menu|sidebar|(?:^|[\s_-])g?nav(?:$|[\s_-])|global-nav", re.I)
+_MAIN = re.compile(r"main|content|article", re.I)
+
+
+class _Tree(HTMLParser):
+    """The elements of a page; those that only frame it, by tag, class or id, are left out with all they hold."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = _Node("", {}, None)
+
+    def handle_starttag(self, tag, attrs):
+        if self.at.tag == "p" and tag in _BLOCKS or tag in ("li", "dt", "dd") and self.at.tag in (("li",) if tag == "li" else ("dt", "dd")):  # left open
+            self.at = self.at.parent
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
+        if not (tag in _CHROME or _FRAME.search(node.attrs.get("class", "")) or _FRAME.search(node.attrs.get("id", ""))):
+            self.at.parts.append(node)
+        if tag not in _VOID:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.at = self.at.parent or self.root
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node.parent is not None and node.tag != tag:
+            node = node.parent
+        if node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data):
+        self.at.parts.append(data)
+
+
+def tree_of(html: str) -> _Node:
+    parser = _Tree()
+    parser.feed(html)
+    parser.close()
+    return parser.root
+
+
+def main_region(root: _Node) -> _Node:
+    """What a page is about: <main>, else an id or a class that says so, else <article>, else the body, else all."""
+    nodes = list(root.walk())
+    tests = [lambda n: n.tag == "main", lambda n: _MAIN.search(n.attrs.get("id", "")), lambda n: _MAIN.search(n.attrs.get("class", "")), lambda n: n.tag == "article", lambda n: n.tag == "body"]
+    return next((n for test in tests for n in nodes if test(n)), root)
+
+
+_TEXTS = frozenset("p div li blockquote section dd td".split())
+
+
+def parse_main_texts(html: str) -> list[tuple[int, str, str]]:
+    """(pos, tag, body) of the innermost texts of the main region."""
+    found = [n for n in main_region(tree_of(html)).walk() if n.tag in _TEXTS and not any(isinstance(x, _Node) and any(y.tag in _TEXTS for y in x.walk()) for x in n.parts)]
+    rows = [(n.tag, body) for n in found if (body := n.text())]
+    return [(k, *row) for k, row in enumerate(rows)]
+
+
+_HEADINGS = frozenset(("h2", "h3", "h4"))
+
+
+def following_text(node: _Node, hops: int, tags: frozenset[str]) -> str:
+    """The text of the first element of `tags` among the next `hops` elements beside a node; a heading ends the search."""
+    beside = [x for x in node.parent.parts if isinstance(x, _Node)]
+    at = next(k for k, x in enumerate(beside) if x is node)
+    for x in beside[at + 1 : at + 1 + hops]:
+        if x.tag in _HEADINGS:
+            return ""
+        if x.tag in tags and (body := x.text()):
+            return body
+    return ""
+
+
+def parse_answers(html: str) -> list[tuple[int, str, str, str]]:
+    """(pos, how, question, answer): terms with their definitions, quotations, headings with the text that follows within three elements."""
+    rows: list[tuple[str, str, str]] = []
+    for n in main_region(tree_of(html)).walk():
+        if n.tag == "dl":
+            term = ""
+            for x in n.walk():
+                if x.tag == "dt":
+                    term = x.text()
+                elif x.tag == "dd" and (body := x.text()):
+                    rows.append(("definition", term, body))
+        elif n.tag == "blockquote" and (body := n.text()):
+            rows.append(("quotation", "", body))
+        elif n.tag in _HEADINGS and (title := n.text()) and (body := following_text(n, 3, frozenset(("p", "div", "blockquote")))):
+            rows.append(("heading", title, body))
+    return [(k, *row) for k, row in enumerate(rows)]
+
+
+def main_texts(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, pos, tag, body) of the innermost texts of each page's main region."""
+    return _emit(df, key, html, "pos int, tag string, body string", parse_main_texts)
+
+
+def answers(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, pos, how, question, answer); how is 'definition', 'quotation' or 'heading'."""
+    return _emit(df, key, html, "pos int, how string, question string, answer string", parse_answers)
+
+
+def headed(df: DataFrame, key: str, html: str, relevant: str, most: int = 12) -> DataFrame:
+    """(key, pos, title, body): relevant headings with the text beside them; only if a page has none, its list items that are relevant; at most `most`."""
+    fits = re.compile(relevant)
+
+    def parse(page: str) -> list[tuple[int, str, str]]:
+        nodes = list(main_region(tree_of(page)).walk())
+        rows = [(n.text(), following_text(n, 3, frozenset(("p", "div", "ul", "table")))) for n in nodes if n.tag in _HEADINGS and fits.search(n.text())]
+        rows = rows or [("", n.text()) for n in nodes if n.tag == "li" and fits.search(n.text())]
+        return [(k, *row) for k, row in enumerate(rows[:most])]
+
+    return _emit(df, key, html, "pos int, title string, body string", parse)
+
+
 def parse_linked_data(html: str) -> list[tuple[str, str, str]]:
     rows: list[tuple[str, str, str]] = []
 
@@ -245,6 +388,16 @@ def wiki_items(df: DataFrame, key: str, text: str) -> DataFrame:
     return _emit(df, key, text, "pos int, level int, section string, name string, description string", parse_wiki)
 
 
+#: Headings under which wiki pages list those who went to a school.
+ALUMNI = "卒業生|出身者|関係者|主な人物|校友|(?:^|・)OB|(?:^|・)OG"
+
+
+def alumni(df: DataFrame, key: str, text: str, headings: str = ALUMNI, excluded: str = "^(?:Category|File|ファイル|画像|カテゴリ):|一覧$|年$") -> DataFrame:
+    """(key, pos, section, name, description) of the linked persons below headings that list alumni; other links are no persons."""
+    items = wiki_items(df, key, text).filter(F.col("section").rlike(headings) & (F.col("name") != ""))
+    return items.filter(~F.col("name").rlike(excluded)).select(key, "pos", "section", "name", "description")
+
+
 def parse_events(text: str) -> list[tuple[int, str, str]]:
     """(month, event, description): events below month headings; a line in brackets describes the one before."""
     month, rows = 0, []

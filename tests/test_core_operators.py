@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomtable.functions import text as X
 from loomtable.models import growth, irt, kmeans, mixed, sem
-from loomtable.operators import dedup, extract, merge, resolve, rules, skew, windows
+from loomtable.operators import dedup, extract, facts, merge, resolve, rules, skew, windows
 from loomtable.sources import files
 from loomtable.streaming import incremental
 
@@ -234,6 +234,33 @@ def test_blocks_of_a_page():
     assert extract.parse_blocks("") == [] and extract.parse_blocks("<<<>") is not None
 
 
+def test_main_region_and_answers_of_varied_pages():
+    page = """<body class="x"><div id="gnav"><p>menu</p></div><header><h2>head</h2></header>
+    <div class="article-body"><h2>質問</h2><!-- c --><img src=a><p>一<b>つ</b>目<p>二つ目<div>三<div>四</div></div><h3>見出し</h3><h3>次</h3><blockquote><p>引用</p></blockquote>
+    <dl><dt>問<dd>答一<dd>答二</dl><script>var p = "<p>no</p>";</script></div><p>outside</p></body>"""
+    assert extract.parse_main_texts(page) == [(0, "p", "一つ目"), (1, "p", "二つ目"), (2, "div", "四"), (3, "p", "引用"), (4, "dd", "答一"), (5, "dd", "答二")]
+    assert extract.parse_answers(page) == [(0, "heading", "質問", "一つ目"), (1, "heading", "次", "引用"), (2, "quotation", "", "引用"), (3, "definition", "問", "答一"), (4, "definition", "問", "答二")]
+    for broken in ("", "<<<>", "</p></div>", "<p", "<div>" * 3000):
+        assert extract.parse_main_texts(broken) is not None and extract.parse_answers(broken) == []
+
+
+@pytest.mark.parametrize("base, link", [(b, x) for b in ("https://a.example/x/y/z.html?q=1#f", "http://a.example", "https://a.example/x/") for x in ("p.html", "/p/q", "../p", "../../p", "./p#t", "//b.example/p", "?n=2", "https://c.example/p#x", "p/../q", "mailto:x@y", "javascript:void(0)")])
+def test_links_as_seen_from_a_page(spark, base, link):
+    from urllib.parse import urldefrag, urljoin
+
+    want = urldefrag(urljoin(base, link))[0]
+    got = one(spark, facts.absolute_url(F.col("b"), F.col("x")), b=base, x=link)
+    assert got == (want if want.startswith("http") else None)
+
+
+def test_facts_of_odd_texts(spark):
+    texts = [None, "", "募集は3名。", "特待生入試の募集人員 1,200 名。\n受験者は9999人、合格者は12人、倍率は99.9倍", "検定料 22,000 円、国語50分、国語60分"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, body string")
+    got = sorted(((r.id, r.kind, r.exam_type, r.applicants, r.admitted, r.ratio, r.details) for r in facts.admission_facts(df, "id", "body", [("特別", "特待")]).collect()), key=str)
+    assert got == [(3, "quota", "特別", None, 1200, None, None), (3, "results", "一般", None, 12, None, None), (4, "details", "一般", None, None, None, '{"subjects":[{"subject":"国語","minutes":50}],"fee":22000}')]
+    assert facts.facilities(df, "id", "body", [("a", "x")], "y").count() == 0 and facts.destinations(df, "id", "body", [("a", "b", "x")]).count() == 0
+
+
 def test_linked_data_markdown_wiki_and_values():
     page = '<script type="application/ld+json">{"@graph":[{"@type":"Review","author":{"name":"n"},"reviewBody":"b"},{"@type":"Question","name":"q","acceptedAnswer":{"text":"a"}}]}</script><script type="application/ld+json">{broken</script>'
     assert extract.parse_linked_data(page) == [("Review", "n", "b"), ("Question", "q", "a")]
