@@ -124,6 +124,33 @@ def masked(text: Column, rules: list[tuple[str, str]]) -> Column:
     return F.struct(out.alias("text"), F.array_compact(F.array(*steps)).alias("changed"))
 
 
+def masked_with_log(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """struct(text, log): pattern replacements in order, and array(struct(was, to)) of every single change.
+
+    The log is in the order in which `undone` takes it: the last rule first, and of a rule
+    its matches from the start of the text on.
+    """
+    out, log = text, []
+    change = lambda to: lambda was: F.struct(was.alias("was"), F.lit(to).alias("to"))
+    for pattern, to in rules:
+        log.insert(0, F.transform(F.regexp_extract_all(out, F.lit(f"({pattern})"), F.lit(1)), change(to)))
+        out = F.regexp_replace(out, pattern, to)
+    return F.struct(out.alias("text"), F.flatten(F.array(*log)).alias("log"))
+
+
+def undone(text: Column, log: Column) -> Column:
+    """The text before the changes of a log of masked_with_log; the first placeholder of its kind is that of each change.
+
+    Whole as long as the text as it was had none of the placeholders.
+    """
+
+    def back(t: Column, c: Column) -> Column:
+        at = F.position(c.to, t)
+        return F.when(at > 0, F.concat(F.substring(t, F.lit(1), at - 1), c.was, F.substring(t, at + F.length(c.to), F.length(t)))).otherwise(t)
+
+    return F.aggregate(log, text, back)
+
+
 def threshold_rule(scores: Column, pattern: dict[str, str]) -> Column:
     """Whether a map of scores meets comparisons such as {'a': '>65', 'b': '<50'}; a missing score fails."""
     tests = []

@@ -13,14 +13,23 @@ from pyspark.sql.types import StringType, StructField, StructType
 from loomtable.operators.extract import decode_page
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of JSON lines with `problem`: null, or the first 80 characters of a line that is no record. Blank lines go."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+def json_lines(spark: SparkSession, path: str, schema: str, numbers: bool = False) -> DataFrame:
+    """Records of JSON lines with `problem`: null, or the first 80 characters of a line that is no record. Blank lines go.
+
+    With numbers, also `line`: the number of the line in its file, from 1. A file is then read
+    as one value by one task, so that is for files of a size that a task can hold.
+    """
+    if numbers:
+        whole_file = spark.read.text(path, wholetext=True)
+        lines = whole_file.select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).withColumn("line", F.col("line") + 1).filter(F.trim("value") != "")
+    else:
+        lines = spark.read.text(path).filter(F.trim("value") != "")
     whole = StructType([*StructType.fromDDL(schema).fields, StructField("_broken", StringType())])
     read = lines.withColumn("r", F.from_json("value", whole, {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"}))
     names = StructType.fromDDL(schema).names
     bad = F.col("r").isNull() | F.col("r._broken").isNotNull()
-    return read.select(*(F.when(~bad, F.col(f"r.{n}")).alias(n) for n in names), F.when(bad, F.substring("value", 1, 80)).alias("problem"))
+    at = [F.col("line")] if numbers else []
+    return read.select(*at, *(F.when(~bad, F.col(f"r.{n}")).alias(n) for n in names), F.when(bad, F.substring("value", 1, 80)).alias("problem"))
 
 
 def pages(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
@@ -33,7 +42,7 @@ def pages(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
 
 def documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
     """(name, text) of whole text files."""
-    read = spark.read.option("wholetext", "true").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(folder)
+    read = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(folder, wholetext=True)
     return read.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("name"), F.col("value").alias("text"))
 
 
@@ -70,6 +79,23 @@ def write_script(df: DataFrame, path: str, variable: str, mode: str = "overwrite
     df.select(F.concat(F.lit(f"window.{variable} = window.{variable} || []; window.{variable}.push("), F.to_json(F.struct(*df.columns)), F.lit(");")).alias("value")).write.mode(mode).text(path)
 
 
+def write_cube(sections: DataFrame, path: str, variable: str, most_rows: int = 1_000_000, mode: str = "overwrite", dry_run: bool = False) -> DataFrame:
+    """sections(section, k1, k2, text, number) as one script `window.<variable> = {...};`, which is also returned.
+
+    The script is one value, made by one task, so the rows are counted first and more than
+    most_rows raise. With dry_run nothing is written.
+    """
+    if (n := sections.count()) > most_rows:
+        raise ValueError(f"{n} rows are more than one script holds")
+    entry = F.struct("k1", "k2", "text", "number")
+    per = sections.groupBy("section").agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    cube = per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", "rows")))).alias("cube"))
+    script = cube.select(F.concat(F.lit(f"window.{variable} = "), F.coalesce(F.to_json("cube"), F.lit("{}")), F.lit(";")).alias("value"))
+    if not dry_run:
+        script.coalesce(1).write.mode(mode).text(path)
+    return script
+
+
 def report(df: DataFrame) -> DataFrame:
     """One JSON string per row, nulls kept."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))

@@ -288,9 +288,9 @@ def test_files_in_and_out(spark, tmp_path):
     assert [r.problem for r in rows if r.problem] == ["{broken"]
     (tmp_path / "pages/s1").mkdir(parents=True)
     (tmp_path / "pages/s1/top.html").write_bytes('<meta charset="Shift_JIS">日本'.encode("cp932"))
-    (tmp_path / "pages/s1/part.html").write_text("<section id='a'>本文</section>", encoding="utf-8")
+    (tmp_path / "pages/s1/part.html").write_text("<h1>x</h1>\n<section id='a'>\n本文\n二行</section>", encoding="utf-8")
     assert {(r.entity, r.slug): "日本" in r.html for r in files.pages(spark, str(tmp_path / "pages"), "s").collect()} == {("s1", "top"): True, ("s1", "part"): False}
-    assert [(r.pos, r.body) for r in files.sections(spark, str(tmp_path / "pages"), ["part.html"]).collect()] == [(0, "本文")]
+    assert [(r.pos, r.body) for r in files.sections(spark, str(tmp_path / "pages"), ["part.html"]).collect()] == [(0, "\n本文\n二行")]
     (tmp_path / "prog").mkdir()
     (tmp_path / "prog/a.json").write_text('{"task_id": "x", "status": "old", "count": 1}')
     (tmp_path / "prog/b.json").write_text('{"task_id": "x", "status": "new", "count": 2}')
@@ -298,6 +298,16 @@ def test_files_in_and_out(spark, tmp_path):
     assert {r.task: r.status for r in files.progress_files(spark, str(tmp_path / "prog")).collect()} == {"x": "new", "c": "own"}
     (tmp_path / "doc.json").write_text('{"a": {"b": [1, 2]}}')
     assert files.json_documents(spark, str(tmp_path / "doc.json")).first().a.b == [1, 2]
+    numbered = files.json_lines(spark, str(tmp_path / "a.jsonl"), "id bigint, t string", numbers=True).collect()
+    assert sorted((r.line, r.problem) for r in numbered) == [(1, None), (3, "{broken"), (4, None)]
+    cube = spark.createDataFrame([("a", "x", "", None, 1.0), ("a", "w", "", "t", None), ("b", "y", "z", None, 2.0)], "section string, k1 string, k2 string, text string, number double")
+    files.write_cube(cube, str(tmp_path / "cube"), "X")
+    (script,) = [x for p in (tmp_path / "cube").glob("*.txt") for x in p.read_text().splitlines()]
+    assert script.startswith("window.X = {") and [x["k1"] for x in json.loads(script[11:-1])["a"]] == ["w", "x"]
+    with pytest.raises(ValueError):
+        files.write_cube(cube, str(tmp_path / "none"), "X", most_rows=2)
+    files.write_cube(cube, str(tmp_path / "none"), "X", dry_run=True)
+    assert not (tmp_path / "none").exists()
     df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
     files.write_json_lines(df, str(tmp_path / "out"))
     files.write_json_lines(df, str(tmp_path / "out"))
