@@ -12,12 +12,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtable.session import cut_lineage
+
 BOUND, LOG_A = 5.0, 2.0
 
 
+MOST_PATTERNS = 1_000_000
+
+
 def patterns(df: DataFrame, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct answer patterns, their counts); persons with a missing answer are left out."""
-    rows = df.select(*items).na.drop().groupBy(*items).agg(F.count("*").alias("n")).orderBy(*items).collect()
+    """(distinct answer patterns, their counts); persons with a missing answer are left out.
+
+    The patterns are counted before they are sent to the driver; more than MOST_PATTERNS raise.
+    """
+    found = cut_lineage(df.select(*items).na.drop().groupBy(*items).agg(F.count("*").alias("n")))
+    if (n := found.count()) > MOST_PATTERNS:
+        raise ValueError(f"{n} answer patterns are more than the driver fits")
+    rows = found.orderBy(*items).collect()
     return np.array([[r[c] for c in items] for r in rows], float).reshape(-1, len(items)), np.array([r.n for r in rows], float)
 
 

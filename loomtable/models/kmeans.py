@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtable.session import cut_lineage
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(float)
@@ -19,9 +21,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index, squared distance) of the nearest center; of equals the lowest index."""
-    d = ((x[:, None, :] - centers[None]) ** 2).sum(2)
-    at = d.argmin(1)
-    return at, d[np.arange(len(x)), at]
+    score = (centers**2).sum(1) - 2 * x @ centers.T  # |x|^2 is the same for all centers
+    at = score.argmin(1)
+    return at, ((x - centers[at]) ** 2).sum(1)
 
 
 def initial_centers(df: DataFrame, key: str, vector: str, k: int, seed: int = 42) -> np.ndarray:
@@ -34,6 +36,7 @@ def fit(df: DataFrame, vector: str, centers: np.ndarray, iterations: int = 100)
     """(centers, within sum of squares); an empty cluster keeps its center."""
     k, d = centers.shape
     wss = 0.0
+    df = cut_lineage(df.select(vector)) if iterations > 1 else df  # read in every iteration
     for _ in range(iterations):
 
         def step(batches: Iterator[pa.RecordBatch], c: np.ndarray = centers) -> Iterator[pa.RecordBatch]:
@@ -70,6 +73,7 @@ def assign(df: DataFrame, key: str, vector: str, centers: np.ndarray) -> DataFra
 
 def select_k(df: DataFrame, key: str, vector: str, choices: range, seed: int = 42, iterations: int = 100) -> list[tuple[int, float, float]]:
     """(k, within sum of squares, criterion wss + k ln(n) d) of each k."""
+    df = cut_lineage(df.select(key, vector))
     n = df.count()
     out = []
     for k in choices:

@@ -426,11 +426,15 @@ def events(df: DataFrame, key: str, text: str) -> DataFrame:
 _ALIASES = {"shift_jis": "cp932", "shift-jis": "cp932", "sjis": "cp932", "x-sjis": "cp932", "windows-31j": "cp932", "euc-jp": "euc_jp", "x-euc-jp": "euc_jp", "iso-2022-jp": "iso2022_jp", "utf8": "utf-8"}
 
 
-def decode_page(raw: bytes | None) -> str | None:
-    """Text of a stored page: the charset it names, then UTF-8, then the Japanese encodings; what is left undecodable goes."""
+def decode_page(raw: bytes | None, named_within: int | None = None) -> str | None:
+    """Text of a stored page: the charset it names, then UTF-8, then the Japanese encodings; what is left undecodable goes.
+
+    named_within limits the bytes in which a name is looked for, for parity with tools that
+    read only the first of a page.
+    """
     if raw is None:
         return None
-    named = re.search(rb"charset=[\"']?([A-Za-z0-9_\-]+)", raw[:2000], re.I)
+    named = re.search(rb"charset=[\"']?([A-Za-z0-9_\-]+)", raw[:named_within], re.I)
     tries = [_ALIASES.get(named.group(1).decode("ascii").lower(), named.group(1).decode("ascii").lower())] if named else []
     for codec in [*tries, "utf-8", "cp932", "euc_jp"]:
         try:

@@ -202,7 +202,7 @@ _SUFFIX = "regexp_replace({0}, '(?:中学校|中等部|中等教育学校)$', ''
 
 @query(
     "resolve_names",
-    "WITH c AS (SELECT record_id, list_concat([matched_school_name], regexp_split_to_array(matched_school_name, '[、,/／・|\s]+')) AS parts FROM team_c1_gf WHERE matched_school_name IS NOT NULL), "
+    "WITH c AS (SELECT record_id, list_concat([matched_school_name], regexp_split_to_array(matched_school_name, '[、,/／・|\\s]+')) AS parts FROM team_c1_gf WHERE matched_school_name IS NOT NULL), "
     f"p AS (SELECT record_id, pos, part, {_SUFFIX.format('part')} AS bare FROM (SELECT record_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c) WHERE length(part) >= 2), "
     f"k AS (SELECT DISTINCT id, name_ja AS known, {_SUFFIX.format('name_ja')} AS kb FROM schools_v2), top AS (SELECT known, max(id) AS id FROM k GROUP BY 1), asked AS (SELECT DISTINCT part, bare FROM p), "
     "m AS (SELECT part, arg_max(known, (length(known), known)) AS known FROM asked JOIN (SELECT DISTINCT known FROM k) ON contains(part, known) OR contains(known, part) OR (length(bare) >= 2 AND contains(known, bare)) GROUP BY 1), "
