@@ -36,7 +36,7 @@ def test_columns_and_one_row_for_each_case(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(llm_queries.QUERIES) - set(COLUMNS) - set(llm_queries.SQL)))
 def test_other_queries_run(spark, name):
-    assert __spark_entry__.queries()[name](spark, str(DATA)).count() >= 0
+    assert __spark_entry__.queries()[name](spark, str(DATA)).count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(llm_queries.SQL))
