@@ -7,12 +7,13 @@ import math
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtable.operators.windows import ColumnOrName, _order
+from loomtable.session import cut_lineage
 
 
 def mark_duplicates(df: DataFrame, key: list[ColumnOrName], order: list[ColumnOrName]) -> DataFrame:
@@ -42,29 +43,84 @@ def new_by_keys_in_turn(batch: DataFrame, existing: DataFrame, keys: list[list[s
     return batch
 
 
-BLOCK_ROWS = 200
+SKETCH = 1 << 18  # counters that say how common a gram is; only the order of grams depends on them
 
 
-def _similar(least: float, guard: float):
-    """Of a block, which holds one or two chunks, the pairs within the one or between the two that are alike."""
+def _gram_length(least: float) -> int:
+    """The longest grams of which near copies of any length surely share some."""
+    for q in (3, 2, 1):
+        if all(n - q + 1 > q * _unmatched(n, least) for n in range(1, 2000) if _unmatched(n, least)):
+            return q
+    raise ValueError("least must be above two thirds")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        ids, texts, chunks = (rows[c].tolist() for c in ("id", "text", "chunk"))
-        two = len(set(chunks)) > 1
-        lost: dict[int, int] = {}
-        for i in range(len(texts)):
-            m = difflib.SequenceMatcher(None, "", texts[i])  # the later text of a pair; its index is made once
-            for j in range(i):
-                a, b = texts[j], texts[i]
-                if two and chunks[i] == chunks[j] or abs(len(a) - len(b)) > guard * min(len(a), len(b)):
-                    continue
-                m.set_seq1(a)
-                if m.real_quick_ratio() < least or m.quick_ratio() < least or m.ratio() < least:
+
+def _unmatched(n: int, least: float) -> int:
+    """Most characters that a text of n characters and a copy with that ratio have unmatched, together."""
+    return math.floor(2 * n * (1 - least) / least + 1e-9)
+
+
+def _grams(text: str, q: int) -> np.ndarray:
+    """A number for each gram of a text; the same gram met again has another number."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    mixed = np.zeros(max(0, points.size - q + 1), np.uint64)
+    for k in range(q):
+        mixed = (mixed ^ points[k : points.size - q + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    order = np.argsort(mixed, kind="stable")
+    ranked = mixed[order]
+    first = np.r_[True, ranked[1:] != ranked[:-1]][: ranked.size]
+    again = np.arange(ranked.size) - np.maximum.accumulate(np.where(first, np.arange(ranked.size), 0)) if ranked.size else ranked
+    mixed[order] = ranked + again.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed
+
+
+def _counted(q: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            grams = [_grams(text, q) for text in batch.column(0).to_pylist()]
+            if grams:
+                total += np.bincount((np.concatenate(grams) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    return run
+
+
+def _rare_grams(q: int, least: float, common: np.ndarray):
+    """Rows (group, id, size, gram) of the rarest grams of each text, as many as near copies may lose and one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, grams, sizes = [], [], []
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                lost = _unmatched(len(text), least)
+                if lost:
+                    g = _grams(text, q)
+                    g = g[np.lexsort((g, common[(g % np.uint64(SKETCH)).astype(np.int64)]))][: q * lost + 1]
+                    at.append(np.full(g.size, k))
+                    grams.append(g)
+                    sizes.append(np.full(g.size, len(text)))
+            some = [np.concatenate(x) if x else np.array([], int) for x in (at, sizes, grams)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some[0])), batch.column(1).take(pa.array(some[0])), pa.array(some[1], pa.int32()), pa.array(some[2].astype(np.uint64).view(np.int64))], names=["group", "id", "size", "gram"])
+
+    return run
+
+
+def _compared(least: float, guard: float):
+    """Of rows (a, b, text_a, text_b), a before b, those that are alike, as (id, kept_id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if abs(len(x) - len(y)) > guard * min(len(x), len(y)):
                     continue
-                loser, winner = (i, j) if len(b) <= len(a) else (j, i)
-                lost[ids[loser]] = min(lost.get(ids[loser], ids[winner]), ids[winner])
-        return pd.DataFrame({"id": list(lost), "kept_id": list(lost.values())}, columns=["id", "kept_id"]).astype("int64")
+                m = difflib.SequenceMatcher(None, x, y)
+                if m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least:
+                    out.append((b, a) if len(y) <= len(x) else (a, b))
+            columns = list(zip(*out)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "kept_id"])
 
     return run
 
@@ -72,29 +128,33 @@ def _similar(least: float, guard: float):
 def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float = 0.95, guard: float = 0.5) -> DataFrame:
     """(id, kept_id): rows whose text is a near copy of a longer, or of equals an earlier, one of its group.
 
-    The measure is difflib's ratio. Copies are removed by hash first. Near copies have lengths
-    within (2 - least) / least of each other, so texts meet only in overlapping bands of length.
-    A band of a group is cut into chunks of about BLOCK_ROWS rows, and every two chunks are
-    compared in a task of their own: no task holds more than two chunks, however large the
-    group, and no pair is left out. Null texts are in no pair.
+    The measure is difflib's ratio. Copies are removed by hash first. Of two texts of which
+    it is `least` or more, at most u = 2 n (1 - least) / least characters are unmatched, n
+    being the length of either; each spoils q grams of q characters at most. So the q u + 1
+    grams of either that come first in any one order share a gram, and only texts that do are
+    compared: no near copy is missed. The order is by how common a gram is in the corpus, so
+    that few others share it; it is told by SKETCH counters, which alone are sent to the
+    driver. What is shuffled are these grams and the pairs that share one. Null texts are in
+    no pair. The keys must be unique; least must be above two thirds.
     """
-    rows = df.filter(F.col(text).isNotNull()).select(F.col(group).alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    q = _gram_length(least)
+    rows = df.filter(F.col(text).isNotNull()).select(F.col(group).cast("string").alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     first = rows.groupBy("group", F.sha2("text", 256).alias("h")).agg(F.min("id").alias("kept_id"))
     first = first.select(F.col("group").alias("g"), "h", "kept_id")
     hashed = rows.withColumn("own", F.sha2("text", 256))
-    exact = hashed.join(first, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("h")]).filter("id <> kept_id").select("id", "kept_id")
-    rest = rows.join(exact.select("id"), "id", "left_anti")
-    width = math.log((2 - least) / least) * 1.01
-    band = F.floor(F.log(F.greatest(F.length("text"), F.lit(1)).cast("double")) / width)
-    # texts of neighbouring bands meet in the pair of bands they share
-    banded = rest.withColumn("band", F.explode(F.array(band, band + 1)))
-    sizes = banded.groupBy(F.col("group").alias("g"), F.col("band").alias("b")).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_chunks"))
-    cut = banded.join(sizes, [F.col("group").eqNullSafe(F.col("g")), F.col("band") == F.col("b")]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("n_chunks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("n_chunks") - 1), lambda d: F.struct(F.least("chunk", d).alias("x"), F.greatest("chunk", d).alias("y")))
-    blocks = cut.withColumn("block", F.explode(others)).select("group", "band", "block", "chunk", "id", "text")
-    # a row meets its own chunk in each of its blocks of two; there only pairs across chunks count
-    near = blocks.groupBy("group", "band", "block").applyInPandas(_similar(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
-    return exact.unionByName(near)
+    exact = cut_lineage(hashed.join(first, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("h")]).filter("id <> kept_id").select("id", "kept_id"))
+    rest = cut_lineage(rows.join(exact.select("id"), "id", "left_anti").select("group", "id", "text"))
+    common = np.zeros(SKETCH, np.int64)
+    for r in rest.select("text").mapInArrow(_counted(q), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # at most SKETCH rows
+        common[r.bucket] = r.n
+    grams = rest.mapInArrow(_rare_grams(q, least, common), "group string, id bigint, size int, gram bigint")
+    other = grams.select(F.col("group").alias("g"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("gram").alias("gram_b"))
+    near = F.least("size", "size_b") * (2 - least) >= F.greatest("size", "size_b") * least - 1e-6
+    pairs = grams.join(other, (F.col("gram") == F.col("gram_b")) & F.col("group").eqNullSafe(F.col("g")) & (F.col("id") < F.col("b")) & near).select(F.col("id").alias("a"), "b").distinct()
+    texts = rest.select(F.col("id").alias("k"), "text")
+    both = pairs.join(texts.withColumnsRenamed({"k": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"k": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
+    alike = both.mapInArrow(_compared(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
+    return exact.unionByName(alike)
 
 
 def _anchor(window: str) -> str:

@@ -156,9 +156,28 @@ def test_similar_rows_are_found(spark):
     assert got == {2, 3}
 
 
-def test_similar_rows_in_many_chunks(spark, monkeypatch):
+@pytest.mark.parametrize("least", [0.95, 0.8, 0.7])
+def test_no_similar_pair_is_missed(spark, least):
+    rng = random.Random(int(least * 100))
+    some = ["".join(rng.choice("abcdef") for _ in range(rng.randint(4, 60))) for _ in range(25)]
+    texts = list(some)
+    for t in some * 2:  # copies with letters put in, taken out and changed
+        for _ in range(rng.randint(1, max(1, len(t) // 8))):
+            k = rng.randint(0, len(t))
+            t = rng.choice([t[:k] + rng.choice("abcdef") + t[k:], t[:k] + t[k + 1 :], t[:k] + rng.choice("xyz") + t[k + 1 :]])
+        texts.append(t)
+    rows = [(i, rng.choice(["g", "g", "h", None]), t) for i, t in enumerate(texts)]
+    want = set()
+    for i, (_, h, b) in enumerate(rows):
+        for j, (_, g, a) in enumerate(rows[:i]):
+            if g == h and abs(len(a) - len(b)) <= 0.5 * min(len(a), len(b)) and difflib.SequenceMatcher(None, a, b).ratio() >= least:
+                want.add(i if len(b) <= len(a) else j)
+    assert len(want) > 4
+    assert {r.id for r in dedup.mark_similar(spark.createDataFrame(rows, "id bigint, grp string, text string"), "grp", "id", "text", least).collect()} == want
+
+
+def test_similar_rows_of_one_group(spark):
     rng = random.Random(8)
-    monkeypatch.setattr(dedup, "BLOCK_ROWS", 3)
     texts = ["".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(14)]
     texts += [t[:30] + "z" + t[31:] for t in texts[:6]] + [t + "q" for t in texts[6:9]]
     df = spark.createDataFrame([(i, "g", t) for i, t in enumerate(texts)], "id bigint, grp string, text string")
