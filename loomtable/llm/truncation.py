@@ -5,11 +5,12 @@ last word of a text without a closing mark is looked up in it:
 
  - a word that is unknown but a proper prefix of known words was cut in mid-word; the more
    often the corpus has the longer words, the surer ('prefix');
- - a word that is known tells nothing by its letters, but as a node of the trie it also
-   counts how often a sentence ended with it and how often it went on. One that goes on was
-   cut in mid-sentence ('goes_on'). Where the word alone is met both ways, the words before
-   it break the tie: the share of ends is that of the longest run seen, backed off to
-   shorter ones, the model's order being a parameter;
+ - a word that is known as a whole counts, as a node of the trie, how often a sentence ended
+   with it, how often it went on to another word, and how often to the rest of a longer
+   one. Where it mostly goes on it was cut: in mid-word if longer words are the more frequent
+   way on ('prefix' too), else in mid-sentence ('goes_on'). The words before it break ties:
+   the share of ends is that of the longest run seen, backed off to shorter ones, the
+   model's order being a parameter;
  - a word unknown to both is a signature, motto or heading, unless the length or a mark of
    omission speaks for a cut.
 
@@ -210,9 +211,14 @@ def _verdict() -> list[Column]:
     open_, closed = F.col("shown") == "open", F.col("closed")
     met = F.col("nodes").isNotNull() | hanging
     base = F.coalesce("base", F.lit(0.5))
-    share = F.aggregate(F.array_sort(F.coalesce("nodes", F.array().cast("array<struct<k:int,ended:bigint,went_on:bigint>>"))), F.when(hanging, base / 2).otherwise(base), lambda p, x: (x.ended + BACKOFF * p) / (x.ended + x.went_on + BACKOFF))
+    longer = F.coalesce(F.col("longer"), F.lit(0))
+    nodes = F.array_sort(F.coalesce("nodes", F.array().cast("array<struct<k:int,ended:bigint,went_on:bigint>>")))
+    # of the last word alone, the text goes on also where the word itself does
+    on = lambda x: x.went_on + F.when(x.k == 0, longer).otherwise(0)
+    share = F.aggregate(nodes, F.when(hanging, base / 2).otherwise(base), lambda p, x: (x.ended + BACKOFF * p) / (x.ended + on(x) + BACKOFF))
     goes_on = F.log((1 - share) / share)
-    part = F.coalesce(F.col("longer"), F.lit(0)) > 0
+    within = longer > F.coalesce(F.aggregate(nodes, F.lit(0).cast("bigint"), lambda n, x: n + F.when(x.k == 0, x.went_on).otherwise(0)), F.lit(0))
+    part = longer > 0
     by_trie = F.when(met, goes_on).when(closed, F.lit(-20.0)).when(part, F.log1p(F.col("longer").cast("double"))).otherwise(F.lit(UNKNOWN) + F.when(F.col("marked"), OMISSION).otherwise(0.0))
     by_length = F.when(closed, F.lit(0.0)).otherwise(F.coalesce("by_length", F.lit(0.0)))
     score = F.when(open_, by_trie + by_length)
@@ -220,7 +226,7 @@ def _verdict() -> list[Column]:
     evidence = (
         F.when(~open_, F.when(cut, F.col("shown")).otherwise("none"))
         .when(cut & (by_trie <= 0), "length")
-        .when(cut, F.when(met, "goes_on").when(part, "prefix").otherwise("omission"))
+        .when(cut, F.when(part & within, "prefix").when(met, "goes_on").otherwise("omission"))
         .otherwise(F.when(met, "ends").otherwise("unknown"))
     )
     return [cut.alias("is_cut"), evidence.alias("evidence"), F.round(score, 6).alias("score")]
