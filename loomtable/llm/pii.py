@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -218,6 +219,18 @@ def _term(kind: str, text: str) -> str:
     return text if kind == "name" else re.sub(r"[\s〒()（）.\[\]-]+", "", text.lower())
 
 
+SHORT = 40  # characters up to which a text is likely to come again, and what is found in it is kept
+
+
+def _parsed(text: str, attribute: bool) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], str, str]:
+    """(spans that have a grammar, name candidates, the text without the former, the folded text)."""
+    typed, rest, folded = typed_spans(text)
+    return typed, name_candidates(rest, attribute), rest, folded
+
+
+_short = lru_cache(50_000)(_parsed)
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()))
     names_ = [c.strip().split(" ")[0] for c in _SPANS.split(", ")]
@@ -226,13 +239,12 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, field, voice, entity, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
             if not text:
                 continue
-            typed, rest, folded = typed_spans(text)
+            typed, names, rest, folded = (_short if len(text) <= SHORT else _parsed)(text, field == "speaker_attribute")
             for kind, a, b in typed:
                 body = folded[a:b]
                 place = _POSTAL.sub("", body)
                 cuts = [m.start() for m in _TOWN.finditer(place) if 1 < m.start() < len(place)] if kind == "address" else []
                 out.append((key, field, voice, entity, kind, a, b, _term(kind, body), [place[:c] for c in cuts] or None))
-            names = name_candidates(rest, field == "speaker_attribute")
             out += [(key, field, voice, entity, "name", a, b, term, None) for term, a, b in names]
             taken = [(a, b) for _, a, b in names]
             for term in {t for t, _, _ in names if len(t) > 2}:  # the same term elsewhere in the field
