@@ -33,6 +33,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def named_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session, or else its context, names for checkpoints."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """checkpoint() into the shared folder named by spark.checkpoint.dir.
 
@@ -43,7 +48,7 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
+        named = named_folder(df.sparkSession)
         if not named and not context.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomtable-checkpoint-"))

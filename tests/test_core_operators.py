@@ -89,6 +89,19 @@ def test_places_in_wide_frames_that_are_written_and_read(spark, tmp_path):
     assert all(a.high + 1 == b.low for a, b in zip(sizes, sizes[1:]))
 
 
+def test_a_cluster_must_name_its_checkpoint_folder(spark, monkeypatch):
+    from loomtable import session
+
+    df, context = spark.range(3), spark.sparkContext
+    monkeypatch.setattr(context, "getCheckpointDir", lambda: None)
+    monkeypatch.setattr(session, "named_folder", lambda s: None)
+    monkeypatch.setattr(context, "master", "spark://host:7077")
+    with pytest.raises(RuntimeError):
+        session.cut_lineage(df)
+    monkeypatch.setattr(context, "master", "local[4]")
+    assert session.cut_lineage(df).count() == 3
+
+
 def test_ids_past_the_width_stay_whole(spark):
     old = spark.createDataFrame([("x_999998",)], "id string")
     got = merge.next_ids(spark.range(4).withColumnRenamed("id", "k"), old, "id", ["k"], "x_", 6).orderBy("k").collect()
