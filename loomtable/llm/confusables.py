@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtable.operators.skew import join_few
 from loomtable.session import cut_lineage
 
 #: Characters drawn like the one before the colon.
@@ -301,8 +302,12 @@ def alike_classes(rows: DataFrame) -> DataFrame:
     hashed = text_hashes(rows)
     counts = hashed.groupBy("table_name", "looks", "string").agg(F.count("*").alias("n"), F.min("key").alias("least"))
     classes = counts.groupBy("table_name", "looks").agg(F.sum("n").alias("n_all"), F.min("least").alias("class_key"))
-    linked = counts.join(classes, ["table_name", "looks"]).select("table_name", "string", "class_key", (F.col("n_all") - F.col("n")).alias("n_links"))
-    return hashed.join(linked, ["table_name", "string"]).select("table_name", "key", "class_key", "n_links")
+    linked = cut_lineage(counts.join(classes, ["table_name", "looks"]).select("table_name", "string", "n", "class_key", (F.col("n_all") - F.col("n")).alias("n_links")))
+    on, columns = ["table_name", "string"], ["table_name", "key", "class_key", "n_links"]
+    # strings of more than BLOCK rows are few, and meet their rows by measured size; the others by equality
+    marked = join_few(hashed, linked.filter(F.col("n") > BLOCK).drop("n"), on, "key", "left")
+    common, rest = marked.filter("class_key IS NOT NULL"), marked.filter("class_key IS NULL").drop("class_key", "n_links")
+    return common.select(columns).unionByName(rest.join(linked.filter(F.col("n") <= BLOCK), on).select(columns))
 
 
 def alike_pairs(rows: DataFrame) -> DataFrame:
