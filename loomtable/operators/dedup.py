@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtable.operators.windows import ColumnOrName, _order
-from loomtable.session import cut_lineage
+from loomtable.session import cut_lineage, shuffle_width
 
 
 def mark_duplicates(df: DataFrame, key: list[ColumnOrName], order: list[ColumnOrName]) -> DataFrame:
@@ -43,70 +42,108 @@ def new_by_keys_in_turn(batch: DataFrame, existing: DataFrame, keys: list[list[s
     return batch
 
 
-SKETCH = 1 << 18  # counters that say how common a gram is; only the order of grams depends on them
+BUCKETS = 128  # of characters, in the sketch of a text; two words of parities
+TILE = 4096  # rows of a group that meet another such tile in one piece
+FEW = 1 << 19  # rows that are broadcast
 
 
-def _gram_length(least: float) -> int:
-    """The longest grams of which near copies of any length surely share some."""
-    for q in (3, 2, 1):
-        if all(n - q + 1 > q * _unmatched(n, least) for n in range(1, 2000) if _unmatched(n, least)):
-            return q
-    raise ValueError("least must be above two thirds")
+def _counts(texts: list[str]) -> np.ndarray:
+    """How many characters of each text fall into each bucket, modulo 256."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    buckets = (points * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
+    rows = np.repeat(np.arange(sizes.size) * BUCKETS, sizes)
+    return np.bincount(rows + buckets, minlength=sizes.size * BUCKETS).astype(np.uint8).reshape(-1, BUCKETS)
 
 
-def _unmatched(n: int, least: float) -> int:
-    """Most characters that a text of n characters and a copy with that ratio have unmatched, together."""
-    return math.floor(2 * n * (1 - least) / least + 1e-9)
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (group, id, text, h) the length of the text and its counts as bytes."""
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        counts = [c.tobytes() for k in range(0, len(texts), 256) for c in _counts(texts[k : k + 256])]
+        added = [pa.array([len(t) for t in texts], pa.int32()), batch.column(3), pa.array(counts, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *added], names=["group", "id", "size", "h", "counts"])
 
 
-def _grams(text: str, q: int) -> np.ndarray:
-    """A number for each gram of a text; the same gram met again has another number."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    mixed = np.zeros(max(0, points.size - q + 1), np.uint64)
-    for k in range(q):
-        mixed = (mixed ^ points[k : points.size - q + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    order = np.argsort(mixed, kind="stable")
-    ranked = mixed[order]
-    first = np.r_[True, ranked[1:] != ranked[:-1]][: ranked.size]
-    again = np.arange(ranked.size) - np.maximum.accumulate(np.where(first, np.arange(ranked.size), 0)) if ranked.size else ranked
-    mixed[order] = ranked + again.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return mixed
+def _longest(n, least: float):
+    """The most characters that a text may have to be like one of n."""
+    return np.floor((n * (2 - least) + 1e-6) / least)
 
 
-def _counted(q: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            grams = [_grams(text, q) for text in batch.column(0).to_pylist()]
-            if grams:
-                total += np.bincount((np.concatenate(grams) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+def _close(left: tuple, right: tuple | None, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pairs that can be alike by their sketches, of a left and a right row, or of two left ones if right is None.
 
-    return run
+    Each side is (ids, sizes, counts), in order of size, and no right row is shorter than a left one.
+    """
+    (ids, n, counts), (other, n_b, counts_b) = left, right or left
+    parity, parity_b = (np.packbits(c & 1, axis=1).view(np.uint64) for c in (counts, counts_b))
+    ends = np.searchsorted(n_b, _longest(n, least), "right")
+    out = [], []
+    for s in range(0, n.size, 64):
+        e = min(s + 64, n.size)
+        for c in range(s if right is None else 0, int(ends[e - 1]), 2048):
+            d = min(c + 2048, int(ends[e - 1]))
+            apart = sum(np.bitwise_count(parity[s:e, None, w] ^ parity_b[None, c:d, w]) for w in range(parity.shape[1]))
+            i, j = np.nonzero(apart <= min(255, int((n[e - 1] + n_b[d - 1]) * (1 - least) + 1e-6)))
+            i, j = i + s, j + c
+            if right is None:
+                i, j = i[i < j], j[i < j]
+            if i.size:
+                off = np.abs((counts[i] - counts_b[j]).view(np.int8).astype(np.int16)).sum(axis=1)  # at most the true difference, as counts are modulo 256
+                near = np.maximum(off, n_b[j] - n[i]) <= np.floor((n[i] + n_b[j]) * (1 - least) + 1e-6)
+                out[0].append(ids[i[near]])
+                out[1].append(other[j[near]])
+    return tuple(np.concatenate(x) if x else np.array([], np.int64) for x in out)
+
+
+def _candidates(least: float):
+    """Pairs (a, b), a before b, of rows (group, one, two, side, size, id, counts) in this order; a piece is a group and two of its tiles."""
+
+    def pairs(sides: tuple[list, list]) -> tuple[np.ndarray, np.ndarray]:
+        left, right = (tuple(map(np.concatenate, zip(*x))) if x else None for x in sides)
+        return _close(left, right, least)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, sides = None, ([], [])
 
-def _rare_grams(q: int, least: float, common: np.ndarray):
-    """Rows (group, id, size, gram) of the rarest grams of each text, as many as near copies may lose and one."""
+        def batch_of(found: list) -> pa.RecordBatch:
+            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, grams, sizes = [], [], []
-            for k, text in enumerate(batch.column(2).to_pylist()):
-                lost = _unmatched(len(text), least)
-                if lost:
-                    g = _grams(text, q)
-                    g = g[np.lexsort((g, common[(g % np.uint64(SKETCH)).astype(np.int64)]))][: q * lost + 1]
-                    at.append(np.full(g.size, k))
-                    grams.append(g)
-                    sizes.append(np.full(g.size, len(text)))
-            some = [np.concatenate(x) if x else np.array([], int) for x in (at, sizes, grams)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some[0])), batch.column(1).take(pa.array(some[0])), pa.array(some[1], pa.int32()), pa.array(some[2].astype(np.uint64).view(np.int64))], names=["group", "id", "size", "gram"])
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(4))))
+            sizes, ids = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (4, 5))
+            counts = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, BUCKETS)
+            starts = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
+            found = []
+            for s, e in zip(starts, [*starts[1:], len(keys)]):
+                *key, side = keys[s]
+                if piece is not None and key != piece:
+                    found.append(pairs(sides))
+                    sides = ([], [])
+                piece = key
+                sides[side].append((ids[s:e], sizes[s:e], counts[s:e]))
+            if found:
+                yield batch_of(found)
+        if piece is not None:
+            yield batch_of([pairs(sides)])
 
     return run
 
 
+def _in_turn(x: str, y: str) -> int:
+    """The length of the longest common subsequence; difflib's matches are one. Bits of v are clear where the length over x so far grows."""
+    at: dict[str, int] = {}
+    for k, c in enumerate(x):
+        at[c] = at.get(c, 0) | 1 << k
+    whole = (1 << len(x)) - 1
+    v = whole
+    for c in y:
+        if m := v & at.get(c, 0):
+            v = (v + m | v - m) & whole
+    return len(x) - v.bit_count()
+
+
 def _compared(least: float, guard: float):
     """Of rows (a, b, text_a, text_b), a before b, those that are alike, as (id, kept_id)."""
 
@@ -117,7 +154,7 @@ def _compared(least: float, guard: float):
                 if abs(len(x) - len(y)) > guard * min(len(x), len(y)):
                     continue
                 m = difflib.SequenceMatcher(None, x, y)
-                if m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least:
+                if m.real_quick_ratio() >= least and m.quick_ratio() >= least and 2.0 * _in_turn(x, y) / (len(x) + len(y)) >= least and m.ratio() >= least:
                     out.append((b, a) if len(y) <= len(x) else (a, b))
             columns = list(zip(*out)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "kept_id"])
@@ -129,34 +166,52 @@ def mark_similar(df: DataFrame, group: str, key: str, text: str, least: float =
     """(id, kept_id): rows whose text is a near copy of a longer, or of equals an earlier, one of its group.
 
     The measure is difflib's ratio. Copies are removed by hash first. Of two texts of which
-    it is `least` or more, at most u = 2 n (1 - least) / least characters are unmatched, n
-    being the length of either; each spoils q grams of q characters at most. So the q u + 1
-    grams of either that come first in any one order share a gram, and only texts that do are
-    compared: no near copy is missed. The order is by how common a gram is in the corpus, so
-    that few others share it; it is told by SKETCH counters, which alone are sent to the
-    driver. What is shuffled are these grams and the pairs that share one. Null texts are in
-    no pair. The keys must be unique; least must be above two thirds.
+    it is `least` or more, at most u = (n + m) (1 - least) characters are unmatched, n and m
+    being their lengths. All others are the same in both, so counts of characters by bucket
+    differ by u at most, in sum, and so do their parities, which are two words a text: these
+    are compared first, then the counts, and only texts that pass both are fetched and
+    measured. No near copy is missed. Rows of a group stand in order of length, cut into tiles
+    of TILE rows, and only tiles whose lengths are near meet. What is shuffled are sketches of
+    BUCKETS bytes, once by group and once for each near tile, and the pairs that pass with
+    their texts. Comparing parities grows with the square of a group, at a few billionths of
+    a second a pair. Long texts of one language have like counts (English from about 5,000
+    characters, Japanese from 20,000), so these are fetched for all near lengths; their longest
+    common subsequence bounds the ratio and is found before it. Null texts and keys are in no
+    pair. The keys must be unique.
     """
-    q = _gram_length(least)
-    rows = df.filter(F.col(text).isNotNull()).select(F.col(group).cast("string").alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    first = rows.groupBy("group", F.sha2("text", 256).alias("h")).agg(F.min("id").alias("kept_id"))
-    first = first.select(F.col("group").alias("g"), "h", "kept_id")
-    hashed = rows.withColumn("own", F.sha2("text", 256))
-    exact = cut_lineage(hashed.join(first, [F.col("group").eqNullSafe(F.col("g")), F.col("own") == F.col("h")]).filter("id <> kept_id").select("id", "kept_id"))
-    rest = cut_lineage(rows.join(exact.select("id"), "id", "left_anti").select("group", "id", "text"))
-    common = np.zeros(SKETCH, np.int64)
-    for r in rest.select("text").mapInArrow(_counted(q), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():  # at most SKETCH rows
-        common[r.bucket] = r.n
-    grams = rest.mapInArrow(_rare_grams(q, least, common), "group string, id bigint, size int, gram bigint")
-    other = grams.select(F.col("group").alias("g"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("gram").alias("gram_b"))
-    near = F.least("size", "size_b") * (2 - least) >= F.greatest("size", "size_b") * least - 1e-6
-    pairs = grams.join(other, (F.col("gram") == F.col("gram_b")) & F.col("group").eqNullSafe(F.col("g")) & (F.col("id") < F.col("b")) & near).select(F.col("id").alias("a"), "b").distinct()
-    texts = rest.select(F.col("id").alias("k"), "text")
+    rows = df.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(group).cast("string").alias("group"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    sketches = rows.withColumn("h", F.unhex(F.sha2("text", 256))).mapInArrow(_sketched, "group string, id bigint, size int, h binary, counts binary")
+    along = Window.partitionBy("group").orderBy("size", "h", "id")
+    place = F.sum(F.col("new").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = sketches.withColumn("new", ~F.lag("h").over(along).eqNullSafe(F.col("h"))).withColumn("tile", F.floor((place - 1) / TILE).cast("int"))
+    ranked = ranked.withColumn("kept_id", F.min("id").over(Window.partitionBy("group", "size", "h").orderBy("id")))
+    ranked = cut_lineage(ranked.select("group", "id", "kept_id", "tile", "size", F.when(F.col("new"), F.col("counts")).alias("counts")))
+    exact = ranked.filter("id <> kept_id").select("id", "kept_id")
+    rest = ranked.filter("counts IS NOT NULL").drop("kept_id")
+    tiles = rest.groupBy("group", "tile").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
+    other = tiles.select(F.col("group").alias("g"), F.col("tile").alias("two"), F.col("low").alias("low_two"))
+    near = F.col("low_two") * least <= F.col("high") * (2 - least) + 1e-6
+    pieces = tiles.join(other, F.col("group").eqNullSafe(F.col("g")) & (F.col("tile") <= F.col("two")) & near)
+    pieces = cut_lineage(pieces.filter("tile < two OR n > 1").select("g", F.col("tile").alias("one"), "two"))
+    sides = [
+        rest.join(_sent_if_few(pieces.filter(kept)), F.col("group").eqNullSafe(F.col("g")) & (F.col("tile") == F.col(end))).select("group", "one", "two", F.lit(k).alias("side"), "size", "id", "counts")
+        for k, (end, kept) in enumerate({"one": "true", "two": "one < two"}.items())
+    ]
+    width = shuffle_width(df.sparkSession)
+    met = sides[0].unionByName(sides[1]).repartition(width, "group", "one", "two").sortWithinPartitions("group", "one", "two", "side", "size")
+    pairs = cut_lineage(met.mapInArrow(_candidates(least), "a bigint, b bigint"))
+    wanted = _sent_if_few(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct())
+    texts = rows.select(F.col("id").alias("k"), "text").join(wanted, "k", "left_semi")
     both = pairs.join(texts.withColumnsRenamed({"k": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"k": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-    alike = both.mapInArrow(_compared(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
+    alike = both.repartition(width, "a", "b").mapInArrow(_compared(least, guard), "id bigint, kept_id bigint").groupBy("id").agg(F.min("kept_id").alias("kept_id"))
     return exact.unionByName(alike)
 
 
+def _sent_if_few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it is counted to be FEW rows at most."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
 def _anchor(window: str) -> str:
     """Of a window its stretch of half the length with the least checksum; the same wherever the window stands."""
     k = max(1, len(window) // 2)

@@ -203,6 +203,76 @@ def test_similar_rows_of_one_group(spark):
     assert {r.id for r in dedup.mark_similar(df, "grp", "id", "text").collect()} == want
 
 
+def test_few_pairs_are_compared(spark, monkeypatch):
+    """Texts of one group that share all their phrases, in some order, are not compared unless they are near copies."""
+    rng = random.Random(12)
+    words = ["".join(chr(0x4E00 + rng.randrange(600)) for _ in range(6)) for _ in range(60)]
+    texts = ["".join(f"{rng.choice(words)}を{rng.choice(words)}と考えます。" for _ in range(rng.randint(4, 12))) for _ in range(300)]
+    copies = [t[:30] + "々" + t[31:] for t in texts[:10]] + [t[:20] + t[21:] for t in texts[10:15]] + texts[15:20]
+    n, compare = spark.sparkContext.accumulator(0), dedup._compared
+
+    def counted(least, guard):
+        inner = compare(least, guard)
+
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    n.add(batch.num_rows)
+                    yield batch
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(dedup, "_compared", counted)
+    df = spark.createDataFrame([(i, "g", t) for i, t in enumerate(texts + copies)], "id bigint, grp string, text string")
+    got = {(r.id, r.kept_id) for r in dedup.mark_similar(df, "grp", "id", "text").collect()}
+    assert got == {(300 + k, k) for k in range(20)}
+    assert n.value <= 30
+
+
+def test_longest_common_subsequence():
+    rng = random.Random(14)
+    for _ in range(200):
+        x, y = ("".join(rng.choice("abcd") for _ in range(rng.randint(0, 12))) for _ in range(2))
+        row = [0] * (len(y) + 1)
+        for c in x:
+            new = [0]
+            for k, d in enumerate(y):
+                new.append(row[k] + 1 if c == d else max(row[k + 1], new[k]))
+            row = new
+        assert dedup._in_turn(x, y) == row[-1]
+
+
+def test_similar_rows_of_many_tiles(spark, monkeypatch):
+    """Tiles and Arrow batches of a few rows each give the pairs of brute force."""
+    rng = random.Random(13)
+    letters = "abcdefgh学校の心𠮷"
+    some = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 9, 21, 40, 42, 80, 84]))) for _ in range(50)] + ["a" * 700 + "b" * 300, "a" * 690 + "b" * 310, "b" * 700 + "a" * 300]
+    texts = some + [t[:5] + rng.choice(letters) + t[5 + rng.randint(0, 1) :] for t in some + some]
+    rows = [(i, rng.choice(["g", "g", "g", "", None]), t) for i, t in enumerate(texts)]
+    want = {}
+    for b, h, y in rows:
+        for a, g, x in rows[:b]:
+            if g == h and x == y:
+                want.setdefault(b, a)
+    first = [r for r in rows if r[0] not in want]
+    for k, (b, h, y) in enumerate(first):
+        for a, g, x in first[:k]:
+            if g == h and difflib.SequenceMatcher(None, x, y).ratio() >= 0.95:
+                i, kept = (b, a) if len(y) <= len(x) else (a, b)
+                want[i] = min(kept, want.get(i, kept))
+    assert len(want) > 30
+    monkeypatch.setattr(dedup, "TILE", 5)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        df = spark.createDataFrame([*rows, (900, "g", None), (None, "g", some[-1])], "id bigint, grp string, text string")
+        assert {r.id: r.kept_id for r in dedup.mark_similar(df, "grp", "id", "text").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
 def test_contained_heads(spark):
     rows = [(1, "g", "abcdef"), (2, "g", "abc"), (3, "g", "abcdef"), (4, "g", "xbc"), (5, "h", "abc"), (6, "g", None), (7, "g", "abcdefgh")]
     df = spark.createDataFrame(rows, "id bigint, grp string, text string")
